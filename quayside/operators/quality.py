@@ -125,14 +125,14 @@ def quality_report(
 ) -> dict:
     """The report of one run. What is brought back is bounded by requests and reasons' kinds.
 
-    Reasons quote the offending text, so distinct reasons could be many: they are counted by kind
-    (the words before the quoted value) on the cluster, and the full table stays in `rejected`.
+    Reasons quote the offending text, so distinct reasons could be many: they are counted here
+    with the quoted value blanked. `rejection_counts` gives the full table.
     """
     issues = completeness_issues(completeness(silver, requests, catalog))
     key = ["series_id", "observation_date"]
     known = current.select(*key).unionByName(silver.select(*key))
     lasts = last_observations(known, requests, catalog).orderBy("series_id").collect()
-    kind = F.trim(F.regexp_replace("reason", r"\s*(?:'.*|None|\d+)$", ""))
+    kind = F.regexp_replace(F.regexp_replace("reason", r"'.*'", "'...'"), r"-?\d[\d.]*$", "...")
     reasons = rejected.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows")).collect()
     incomplete = [r["message"] for r in issues.orderBy("request_id", "series_id").collect()]
     refused = sum(r["rows"] for r in reasons)
