@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 ORDERED_LIMIT = 100_000
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row (rows, digest) that does not depend on row order or partitioning.
+def fingerprint(
+    df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """(rows, digest), for the table or per `by` group, whatever the row order or partitioning.
 
     Two independent 64-bit hashes of each row are cut into pieces small enough that a bigint sum
     holds them for a trillion rows. Only partial sums are shuffled, so any table size works. The
     null pattern is hashed too because the hash function itself skips nulls.
     """
-    names = list(columns or df.columns)
+    names = list(columns or [c for c in df.columns if c not in by])
     cells = [c for n in names for c in (F.col(n), F.col(n).isNull())]
-    hashed = df.select(*[F.xxhash64(F.lit(seed), *cells).alias(f"h{seed}") for seed in (1, 2)])
+    hashed = df.select(
+        *by, *[F.xxhash64(F.lit(seed), *cells).alias(f"h{seed}") for seed in (1, 2)]
+    )
     sums = [
         F.coalesce(
             F.sum(F.shiftrightunsigned(F.col(f"h{seed}"), shift).bitwiseAND(F.lit(mask))), F.lit(0)
@@ -29,7 +33,7 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     ]
     rows = F.count(F.lit(1))
     text = F.concat_ws("|", *[c.cast("string") for c in (rows, *sums)])
-    return hashed.agg(rows.alias("rows"), F.sha2(text, 256).alias("digest"))
+    return hashed.groupBy(*by).agg(rows.alias("rows"), F.sha2(text, 256).alias("digest"))
 
 
 def ordered_digest(df: DataFrame, order: Sequence[str], line: Column) -> DataFrame:

@@ -48,28 +48,40 @@ def changes(current: DataFrame, silver: DataFrame) -> DataFrame:
     return old.join(new, OBSERVATION_KEY, "full_outer").withColumn("kind", kind)
 
 
-def current_of(changed: DataFrame) -> DataFrame:
-    """The current table after the merge."""
+def current_cells() -> dict[str, Column]:
+    """The non-key columns of the current row a change leaves behind."""
     takes_new = F.col("kind").isin("inserted", "revised")
-    pick = lambda c: F.when(takes_new, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}"))
-    seen_at = F.when(
+    cells = {
+        c: F.when(takes_new, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}"))
+        for c in SILVER.names if c not in OBSERVATION_KEY
+    }
+    cells["last_seen_at"] = F.when(
         takes_new | (F.col("kind") == "seen"), F.col("new.retrieved_at")
     ).otherwise(F.col("old.last_seen_at"))
-    cells = [pick(c).alias(c) for c in SILVER.names if c not in OBSERVATION_KEY]
-    return conform(
-        changed.select(*OBSERVATION_KEY, *cells, seen_at.alias("last_seen_at")), GOLD
-    )
+    return cells
+
+
+def superseded_cells(version: int | Column, input_id: str | Column) -> dict[str, Column]:
+    """The non-key columns of the row a revision moves into the history."""
+    cells = {c: F.col(f"old.{c}") for c in GOLD.names if c not in OBSERVATION_KEY}
+    cells["superseded_at_version"] = F.lit(version)
+    cells["superseded_by_logical_input_id"] = F.lit(input_id)
+    return cells
+
+
+def current_of(changed: DataFrame) -> DataFrame:
+    """The current table after the merge."""
+    cells = [c.alias(n) for n, c in current_cells().items()]
+    return conform(changed.select(*OBSERVATION_KEY, *cells), GOLD)
 
 
-def superseded_of(changed: DataFrame, version: int | Column, input_id: str) -> DataFrame:
+def superseded_of(
+    changed: DataFrame, version: int | Column, input_id: str | Column
+) -> DataFrame:
     """The rows a merge moves into the revision history."""
+    cells = [c.alias(n) for n, c in superseded_cells(version, input_id).items()]
     return conform(
-        changed.filter("kind = 'revised'").select(
-            *OBSERVATION_KEY, "old.*",
-            F.lit(version).alias("superseded_at_version"),
-            F.lit(input_id).alias("superseded_by_logical_input_id"),
-        ),
-        REVISION,
+        changed.filter("kind = 'revised'").select(*OBSERVATION_KEY, *cells), REVISION
     )
 
 

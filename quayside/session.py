@@ -20,7 +20,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
     """A session for tests and benches on one machine. On a cluster, pass your own session."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("quayside")
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("QUAYSIDE_DRIVER_MEMORY", "8g"))
     )

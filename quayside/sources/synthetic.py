@@ -97,7 +97,11 @@ def synthetic_pages(
     """
     from quayside.functions.scans import dense_sequence
 
-    raw = value if value is not None else F.format_string("%.2f", F.col("price"))
+    cents = F.col("price").cast("decimal(18,2)")
+    exact = F.when(cents == F.col("price"), cents.cast("string")).otherwise(
+        F.col("price").cast("string")
+    )
+    raw = exact if value is None else value
     row = F.struct(
         F.col("observation_date").cast("string").alias("period"),
         F.col("series_id").alias("series"),
