@@ -120,10 +120,10 @@ def build_curves(
         anchor_prices(current, anchors, by)
         .withColumn("month", F.month("as_of_date"))
         .join(F.broadcast(factors), "month", "left")
-        .select(*by, "as_of_date", "points", F.explode(F.array(*items)).alias("c"))
-        .select(*by, "as_of_date", "c.*", F.explode("points").alias("p"))
+        .select(*by, "as_of_date", "points", F.inline(F.array(*items)))
+        .select("*", F.inline("points"))
     )
-    priced = lambda leg: half_even(F.col(leg) * F.col("p.factor"), 4)
+    priced = lambda leg: half_even(F.col(leg) * F.col("factor"), 4)
     difference = priced("long") - F.when(F.col("short").isNotNull(), priced("short")).otherwise(
         F.lit(0).cast("decimal(18,4)")
     )
@@ -135,8 +135,7 @@ def build_curves(
         "params_sha256": params_sha256,
     }
     points = unfolded.select(
-        *by, "curve_id", "kind", "as_of_date", F.col("p.position").alias("position"),
-        price.alias("price"),
+        *by, "curve_id", "kind", "as_of_date", "position", price.alias("price"),
         F.when(F.col("gap_reason").isNull(), "ok").otherwise("gap").alias("status"),
         "gap_reason", "shape_source", *[F.lit(v).alias(k) for k, v in labels.items()],
     )

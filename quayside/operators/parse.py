@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import iso_date
-from quayside.functions.scans import salted_semi_join
+from quayside.functions.scans import salted_flag
 from quayside.functions.text import quoted, shown
 from quayside.schemas import OBSERVATION_KEY, REJECTED, SILVER, conform
 
@@ -109,13 +109,12 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     silver = per_key.filter("_low = _high").select(*OBSERVATION_KEY, "_first.*")
     conflicts = per_key.filter("_low <> _high").select(*OBSERVATION_KEY)
     spread = ["raw_artifact_key", "row_no"]
-    copies = salted_semi_join(accepted, conflicts, OBSERVATION_KEY, spread)
+    marked = salted_flag(parsed, conflicts, OBSERVATION_KEY, spread, "_conflict")
     as_row = F.to_json(F.struct(*sorted(SILVER.names)))
-    rejected = parsed.filter("reason is not null").select(*REJECTED.names).unionByName(
-        copies.select(
-            "source", "raw_artifact_key", as_row.alias("row_json"),
-            F.lit(CONFLICT).alias("reason"),
-        )
+    rejected = marked.filter("reason is not null or _conflict").select(
+        "source", "raw_artifact_key",
+        F.when(F.col("reason").isNull(), as_row).otherwise(F.col("row_json")).alias("row_json"),
+        F.coalesce("reason", F.lit(CONFLICT)).alias("reason"),
     )
     return conform(silver, SILVER), conform(rejected, REJECTED)
 

@@ -43,6 +43,25 @@ def _price(series: str, day: Column) -> Column:
     return F.when(day <= F.lit(FUTURES_END), value)
 
 
+def synthetic_prices(days: DataFrame, series_ids) -> DataFrame:
+    """(series_id, observation_date, price) for every business day in `days`, a table of distinct
+    `observation_date` values. Prices are a pure function of (series, date)."""
+    day = F.col("observation_date")
+    cells = F.array(*[
+        F.struct(F.lit(s).alias("series_id"), _price(s, day).alias("value"))
+        for s in sorted(series_ids)
+    ])
+    return (
+        days.filter(is_business_day(day))
+        .select(day, F.inline(cells))
+        .filter("value is not null")
+        .select(
+            "series_id", day,
+            half_even_from_double(F.col("value"), 2).cast("decimal(18,6)").alias("price"),
+        )
+    )
+
+
 def synthetic_history(
     spark: SparkSession,
     series_ids,
@@ -51,38 +70,35 @@ def synthetic_history(
     overrides: DataFrame | None = None,
     omit: DataFrame | None = None,
 ) -> DataFrame:
-    """(series_id, observation_date, price) for every business day in [start, end].
+    """`synthetic_prices` over [start, end], with the source's misbehaviour for tests and demos.
 
     `overrides` (series_id, observation_date, price) replaces or adds rows; `omit` (series_id,
     observation_date) drops rows the source is to be missing.
     """
-    days = max((end - start).days + 1, 0)
-    day = F.col("observation_date")
-    cells = F.array(*[
-        F.struct(F.lit(s).alias("series_id"), _price(s, day).alias("value"))
-        for s in sorted(series_ids)
-    ])
-    history = (
-        spark.range(days)
-        .select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("observation_date"))
-        .filter(is_business_day(day))
-        .select(day, F.explode(cells).alias("c"))
-        .filter(F.col("c.value").isNotNull())
-        .select(
-            F.col("c.series_id").alias("series_id"),
-            day,
-            half_even_from_double(F.col("c.value"), 2).cast("decimal(18,6)").alias("price"),
-        )
+    days = spark.range(max((end - start).days + 1, 0)).select(
+        F.date_add(F.lit(start), F.col("id").cast("int")).alias("observation_date")
+    )
+    history = synthetic_prices(days, series_ids)
+    in_range = F.col("series_id").isin(list(series_ids)) & F.col("observation_date").between(
+        F.lit(start), F.lit(end)
     )
-    key = ["series_id", "observation_date"]
     if overrides is not None:
-        wanted = overrides.filter(
-            F.col("series_id").isin(list(series_ids)) & day.between(F.lit(start), F.lit(end))
-        ).select(*key, F.col("price").cast("decimal(18,6)").alias("_price"))
-        history = history.join(wanted, key, "full_outer").select(
-            *key, F.coalesce("_price", "price").alias("price")
-        )
-    return history if omit is None else history.join(omit.select(*key), key, "left_anti")
+        history = override_prices(history, overrides.filter(in_range))
+    return history if omit is None else omit_prices(history, omit)
+
+
+def override_prices(history: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Replace or add the overridden (series, date) prices."""
+    key = ["series_id", "observation_date"]
+    new = overrides.select(*key, F.col("price").cast("decimal(18,6)").alias("_price"))
+    return history.join(new, key, "full_outer").select(
+        *key, F.coalesce("_price", "price").alias("price")
+    )
+
+
+def omit_prices(history: DataFrame, omit: DataFrame) -> DataFrame:
+    key = ["series_id", "observation_date"]
+    return history.join(omit.select(*key), key, "left_anti")
 
 
 def synthetic_pages(
