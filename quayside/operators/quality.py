@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from quayside.functions.dates import business_days_after
 # When a series counts as incomplete, and when a warning is due.
 INCOMPLETE_MIN_DAYS, INCOMPLETE_SHARE = 3, 0.10
 STALE_BUSINESS_DAYS = 5
+REPORT_LINES = 1000
 
 
 def completeness(
@@ -119,32 +122,48 @@ def rejection_counts(rejected: DataFrame, by: tuple[str, ...] = ()) -> DataFrame
     return rejected.groupBy(*by, "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
+class Quality(NamedTuple):
+    report: dict
+    series: DataFrame
+    issues: DataFrame
+
+
 def quality_report(
     silver: DataFrame, rejected: DataFrame, current: DataFrame, requests: DataFrame,
     catalog: DataFrame,
-) -> dict:
-    """The report of one run. What is brought back is bounded by requests and reasons' kinds.
+) -> Quality:
+    """The report of one run, and the full tables behind it.
 
-    Reasons quote the offending text, so distinct reasons could be many: they are counted here
-    with the quoted value blanked. `rejection_counts` gives the full table.
+    The report is a document for people: its counts are exact, its lists stop at REPORT_LINES.
+    `series` (last observation and warning per requested series) and `issues` (incomplete series)
+    hold everything. Reasons quote the offending text, so they are counted with it blanked;
+    `rejection_counts` gives them in full.
     """
     issues = completeness_issues(completeness(silver, requests, catalog))
     key = ["series_id", "observation_date"]
     known = current.select(*key).unionByName(silver.select(*key))
-    lasts = last_observations(known, requests, catalog).orderBy("series_id").collect()
+    series = last_observations(known, requests, catalog)
     kind = F.regexp_replace(F.regexp_replace("reason", r"'.*'", "'...'"), r"-?\d[\d.]*$", "...")
-    reasons = rejected.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    incomplete = [r["message"] for r in issues.orderBy("request_id", "series_id").collect()]
-    refused = sum(r["rows"] for r in reasons)
-    return {
-        "status": "passed" if not refused and not incomplete else "quarantined",
-        "accepted": silver.count(),
-        "rejected": refused,
-        "reasons": {r["kind"]: r["rows"] for r in sorted(reasons)},
-        "last_observation": {r["series_id"]: str(r["last"]) for r in lasts if r["last"]},
-        "warnings": [r["warning"] for r in lasts if r["warning"]],
-        "incomplete": incomplete,
+    reasons = (
+        rejected.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows"))
+        .orderBy("kind").limit(REPORT_LINES).collect()
+    )
+    counts = [df.count() for df in (silver, rejected, issues)]
+    top = lambda df, *order: df.orderBy(*order).limit(REPORT_LINES).collect()
+    lasts = top(series.filter("last is not null"), "series_id")
+    report = {
+        "status": "quarantined" if counts[1] or counts[2] else "passed",
+        "accepted": counts[0],
+        "rejected": counts[1],
+        "incomplete_series": counts[2],
+        "reasons": {r["kind"]: r["rows"] for r in reasons},
+        "last_observation": {r["series_id"]: str(r["last"]) for r in lasts},
+        "warnings": [
+            r["warning"] for r in top(series.filter("warning is not null"), "series_id")
+        ],
+        "incomplete": [r["message"] for r in top(issues, "request_id", "series_id")],
     }
+    return Quality(report, series, issues)
 
 
 def single_source(df: DataFrame, limit: int = 2) -> list[str]:

@@ -557,3 +557,109 @@ ORACLES["synthetic_overrides"] = (
         SELECT series_id, CAST(d AS VARCHAR) AS observation_date, price FROM merged
         WHERE NOT (series_id = 'RWTC' AND d IN (SELECT d FROM per_day WHERE status = 'P'))"""
 )
+
+STORE = CELLS + """,
+fetched AS (
+  SELECT l_linestatus, series_id, observation_date, max(price) AS price FROM cells GROUP BY ALL),
+stored AS (
+  SELECT coalesce(n.series_id, o.series_id) AS series_id,
+    coalesce(n.observation_date, o.observation_date) AS observation_date,
+    coalesce(n.price, o.price) AS price, o.price AS old_price, n.price AS new_price
+  FROM (SELECT * FROM fetched WHERE l_linestatus = 'F') o
+  FULL JOIN (SELECT * FROM fetched WHERE l_linestatus = 'O') n
+    ON n.series_id = o.series_id AND n.observation_date = o.observation_date),
+timed AS (
+  SELECT *, CASE WHEN new_price IS NULL OR new_price = old_price THEN '2003-01-01'
+      ELSE '2003-01-02' END || ' 00:00:00.000000' AS retrieved_at,
+    CASE WHEN new_price IS NULL THEN '2003-01-01' ELSE '2003-01-02' END
+      || ' 00:00:00.000000' AS last_seen_at
+  FROM stored),
+""" + CURVES[len(CELLS):].lstrip(",\n").replace(
+    "FROM obs", "FROM tagged").replace("JOIN obs", "JOIN tagged").replace(
+    "factors AS", """tagged AS (
+  SELECT 'lineitem' AS source, series_id, observation_date, price FROM stored),
+factors AS""", 1)
+HISTORY = """
+history AS (
+  SELECT as_of_date, CAST(as_of_date AS VARCHAR) || ',' || coalesce(CAST(price AS VARCHAR), '')
+    || ',' || status || ',' || CASE WHEN gap_reason IS NULL THEN '' ELSE gap_reason END AS line
+  FROM curves WHERE curve_id = 'WTI' AND position = 'C1')
+"""
+RECORDS = """
+judged AS (
+  SELECT o_custkey, o_orderkey, o_orderdate, CASE WHEN o_orderstatus = 'P' THEN 'cannot be parsed'
+    ELSE CASE left(o_orderpriority, 1) WHEN '1' THEN 'names another run'
+      WHEN '2' THEN 'does not state 48 rows' WHEN '3' THEN 'has no valid hash' END END AS problem
+  FROM orders)
+"""
+ORACLES |= {
+    "published_observations": f"""WITH {STORE}
+        SELECT 'lineitem' AS source, series_id, {SEEN}, {number('price')}, '$/BBL' AS unit,
+          price <= 0 AS non_positive, retrieved_at, last_seen_at FROM timed""",
+    "published_first_version": f"""WITH {STORE}
+        SELECT 'lineitem' AS source, series_id, {SEEN}, {number('price')} FROM fetched
+        WHERE l_linestatus = 'F'""",
+    "published_revisions": f"""WITH {STORE}
+        SELECT 'lineitem' AS source, series_id, {SEEN}, {number('old_price', 'price')},
+          CAST(2 AS BIGINT) AS superseded_at_version
+        FROM stored WHERE new_price <> old_price""",
+    "published_curves": f"""WITH {STORE}
+        SELECT curve_id, kind, {day('as_of_date')}, position, {number('price')}, status, gap_reason
+        FROM curves""",
+    "published_versions": """
+        SELECT CAST(dense_rank() OVER (ORDER BY l_linestatus) AS BIGINT) AS dataset_version
+        FROM (SELECT DISTINCT l_linestatus FROM lineitem)""",
+    "imported_versions": f"""WITH {STORE},
+        first_anchors AS (SELECT DISTINCT observation_date FROM fetched
+          WHERE l_linestatus = 'F' AND series_id IN ('RWTC', 'RBRTE')),
+        anchors AS (SELECT DISTINCT observation_date FROM stored
+          WHERE series_id IN ('RWTC', 'RBRTE'))
+        SELECT CAST(1 AS BIGINT) AS dataset_version, 'lineitem' AS source,
+          (SELECT count(*) FROM fetched WHERE l_linestatus = 'F') AS observations,
+          CAST(0 AS BIGINT) AS revisions,
+          (SELECT count(*) * 15 FROM first_anchors) AS curve_points,
+          (SELECT count(*) FROM fetched WHERE l_linestatus = 'F') AS price_changes
+        UNION ALL
+        SELECT 2, 'lineitem', (SELECT count(*) FROM stored),
+          (SELECT count(*) FROM stored WHERE new_price <> old_price),
+          (SELECT count(*) * 15 FROM anchors),
+          (SELECT count(*) FROM stored WHERE new_price IS NOT NULL
+            AND (old_price IS NULL OR new_price <> old_price))""",
+    "monitored_of_version": f"""WITH {STORE},
+        newest AS (SELECT *, row_number() OVER (PARTITION BY curve_id, position
+          ORDER BY as_of_date DESC) AS nth FROM curves)
+        SELECT CAST(2 AS BIGINT) AS dataset_version, curve_id, position, {day('as_of_date')},
+          {number('price')}, status FROM newest WHERE nth = 1""",
+    "synced_attempts": """
+        SELECT 'published' AS status, count(DISTINCT l_linestatus) AS records FROM lineitem""",
+    "warehouse_load_log": f"""WITH {STORE},
+        counts AS (
+          SELECT 'shape_params' AS table_name, count(*) AS rows FROM factors WHERE position <> 'Spot'
+          UNION ALL SELECT 'observations', count(*) FROM stored
+          UNION ALL SELECT 'revisions', count(*) FROM stored WHERE new_price <> old_price
+          UNION ALL SELECT 'curve_points', count(*) FROM curves)
+        SELECT table_name, rows, rows AS row_count FROM counts""",
+    "warehouse_spread_by_position": f"""WITH {STORE}
+        SELECT {day('b.as_of_date', 'as_of_date')}, b.position, {number('b.price - w.price', 'spread')}
+        FROM curves b JOIN curves w ON w.as_of_date = b.as_of_date AND w.position = b.position
+          AND w.curve_id = 'WTI' AND w.status = 'ok'
+        WHERE b.curve_id = 'BRENT' AND b.status = 'ok'""",
+    "exported_history": f"""WITH {STORE}, {HISTORY}
+        SELECT '# Modelled estimate, not market quotes.' AS line
+        UNION ALL SELECT '# dataset_version=2 source=lineitem dataset_created_at=2003-01-02'
+        UNION ALL SELECT 'as_of,price,status,gap_reason'
+        UNION ALL SELECT line FROM history""",
+    "streamed_observations": f"""WITH {STORE}
+        SELECT 'lineitem' AS source, series_id, {SEEN}, {number('price')}, retrieved_at,
+          last_seen_at FROM timed""",
+    "streamed_crossings": ORACLES["alert_crossings"],
+    "newest_update": f"""WITH {RUNS}
+        SELECT max(dataset_version) AS dataset_version FROM attempts WHERE status = 'published'""",
+    "complete_runs": f"""WITH {RECORDS}
+        SELECT problem, count(*) AS records FROM judged GROUP BY problem""",
+    "newest_complete_run": f"""WITH {RECORDS}
+        SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS run_id FROM (
+          SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC,
+            CAST(o_orderkey AS VARCHAR) DESC) AS nth FROM judged WHERE problem IS NULL)
+        WHERE nth = 1""",
+}

@@ -12,9 +12,17 @@ from quayside.catalog import FUTURES
 from quayside.functions import dates, numeric
 from quayside.functions.digests import fingerprint, ordered_digest
 from quayside.operators import alerts, checks, curves, merge, parse, quality, reports, shape
-from quayside.schemas import OBSERVATION_KEY
+from quayside.plans import exports, shape_runs
+from quayside.plans import serving as serving_plan
+from quayside.plans import warehouse as warehouse_plan
+from quayside.plans.versions import read_table, read_version, version_index
+from quayside.schemas import GOLD, OBSERVATION_KEY, conform
+from quayside.session import scratch
 from quayside.sources import pages as page_source
 from quayside.sources import synthetic
+from quayside.streaming import alerts as stream_alerts
+from quayside.streaming import feeds
+from workloads import stores
 from workloads import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,8 +207,6 @@ def revisions_per_month(spark, sf):
 @query
 def legacy_gold_conformed(spark, sf):
     """Gold from before the watermark column existed takes its retrieval time as watermark."""
-    from quayside.schemas import GOLD, conform
-
     legacy = t.gold(spark, sf).drop("last_seen_at")
     return conform(legacy, GOLD).select(*OBSERVATION_KEY, "retrieved_at", "last_seen_at")
 
@@ -510,3 +516,132 @@ def params_digest(spark, sf):
     counted = t.observations(spark, sf).groupBy("series_id").agg(F.count(F.lit(1)).alias("n"))
     line = F.concat(F.concat_ws(",", "series_id", "n"), F.lit("\n"))
     return ordered_digest(counted, ["series_id"], line)
+
+
+# --- published versions, serving, warehouse and streams ------------------------------------------
+
+
+def _version_table(spark, sf, name, number=None):
+    root = stores.store(spark, sf)
+    return read_table(spark, root, read_version(spark, root, number), name)
+
+
+@query
+def published_observations(spark, sf):
+    """Current observations of a store that ingested both fetches, read back and verified."""
+    return _version_table(spark, sf, "gold_current").select(
+        *OBSERVATION_KEY, "price", "unit", "non_positive", "retrieved_at", "last_seen_at"
+    )
+
+
+@query
+def published_first_version(spark, sf):
+    """The first version still reads as it was published."""
+    return _version_table(spark, sf, "gold_current", 1).select(*OBSERVATION_KEY, "price")
+
+
+@query
+def published_revisions(spark, sf):
+    return _version_table(spark, sf, "gold_revisions").select(
+        *OBSERVATION_KEY, "price", "superseded_at_version"
+    )
+
+
+@query
+def published_curves(spark, sf):
+    return _version_table(spark, sf, "gold_curves").select(
+        "curve_id", "kind", "as_of_date", "position", "price", "status", "gap_reason"
+    )
+
+
+@query
+def published_versions(spark, sf):
+    return version_index(spark, stores.store(spark, sf)).select("dataset_version")
+
+
+@query
+def imported_versions(spark, sf):
+    return serving_plan.versions(stores.serving(spark, sf)).select(
+        "dataset_version", "source", "observations", "revisions", "curve_points", "price_changes"
+    )
+
+
+@query
+def monitored_of_version(spark, sf):
+    served = stores.serving(spark, sf)
+    return alerts.values_of_version(
+        serving_plan.monitored(served, 2), serving_plan.versions(served), 2
+    )
+
+
+@query
+def synced_attempts(spark, sf):
+    return reports.status_counts(serving_plan.stored_attempts(stores.serving(spark, sf)))
+
+
+@query
+def warehouse_load_log(spark, sf):
+    return warehouse_plan.verified_tables(spark, stores.warehouse(spark, sf))
+
+
+@query
+def warehouse_spread_by_position(spark, sf):
+    points = warehouse_plan.read_loaded(spark, stores.warehouse(spark, sf), "curve_points")
+    return reports.spread_by_position(points)
+
+
+@query
+def exported_history(spark, sf):
+    """A labelled CSV export of one curve position, as numbered lines read back from disk."""
+    points = _version_table(spark, sf, "gold_curves")
+    history = reports.curve_history(points, "WTI", "C1").drop("estimate_type")
+    path = scratch(spark, "export")
+    exports.export_table(
+        history, path, ["as_of"], version=2, source=stores.SOURCE, created_at="2003-01-02"
+    )
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query
+def streamed_observations(spark, sf):
+    """Current observations after a stream ingested the landed pages file by file."""
+    root = stores.streamed_store(spark, sf)
+    table = read_table(spark, root, read_version(spark, root), "gold_current")
+    return table.select(*OBSERVATION_KEY, "price", "retrieved_at", "last_seen_at")
+
+
+@query
+def streamed_crossings(spark, sf):
+    """Crossings found by the stateful stream over the events table."""
+    source = t.table(spark, sf, "events")
+    # A bracket glob matches the table whether it is one file or a folder of parts.
+    stream = spark.readStream.schema(source.schema).parquet(f"{sf}/events.parque[t]")
+    wanted = t.rules(spark, sf)
+    out = scratch(spark, "crossings")
+    run = stream_alerts.run_crossings(
+        t.monitored_of(stream), lambda: wanted, out, scratch(spark, "checkpoint")
+    )
+    run.awaitTermination()
+    return stream_alerts.read_crossings(spark, out).drop("created_at")
+
+
+@query
+def newest_update(spark, sf):
+    """The update a feed announces after version 1: the newest of all."""
+    newest = feeds.newest_update(t.versions(spark, sf), 1)
+    return t.versions(spark, sf).filter(F.col("dataset_version") == newest).select("dataset_version")
+
+
+@query
+def complete_runs(spark, sf):
+    """Completion records written from orders, judged: counts per problem."""
+    return shape_runs.judged_records(t.run_records(spark, sf)).groupBy("problem").agg(
+        F.count(F.lit(1)).alias("records")
+    )
+
+
+@query
+def newest_complete_run(spark, sf):
+    """Per customer, the newest order whose record is valid."""
+    judged = shape_runs.judged_records(t.run_records(spark, sf))
+    return shape_runs.newest_complete_run(judged, ("o_custkey",))

@@ -41,7 +41,7 @@ def chosen(column: str, options: dict) -> Column:
     return picked
 
 
-def _cells(spark: SparkSession, sf: str) -> DataFrame:
+def cells(spark: SparkSession, sf: str) -> DataFrame:
     """One row per line item as a raw observation."""
     margin = F.lit(Decimal("0.095")) - F.col("l_discount").cast("decimal(4,2)")
     return table(spark, sf, "lineitem").select(
@@ -58,7 +58,7 @@ def _cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:
     """What an earlier fetch stored: the finished lines, one row per (supplier, series, date)."""
-    per_key = _cells(spark, sf).filter("l_linestatus = 'F'").groupBy(*OBSERVATION_KEY).agg(
+    per_key = cells(spark, sf).filter("l_linestatus = 'F'").groupBy(*OBSERVATION_KEY).agg(
         F.max("price").alias("price"), F.min("seen").alias("retrieved_at"),
         F.max("seen").alias("last_seen_at"),
     )
@@ -67,7 +67,7 @@ def gold(spark: SparkSession, sf: str) -> DataFrame:
 
 def batch(spark: SparkSession, sf: str) -> DataFrame:
     """A later fetch over all lines: same, changed and new keys, some retrieved late."""
-    per_key = _cells(spark, sf).groupBy(*OBSERVATION_KEY).agg(
+    per_key = cells(spark, sf).groupBy(*OBSERVATION_KEY).agg(
         F.max("price").alias("price"), F.max("seen").alias("retrieved_at")
     )
     return conform(_labelled(per_key, "second"), SILVER)
@@ -104,7 +104,11 @@ def catalog(spark: SparkSession) -> DataFrame:
 
 
 def _event_key(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return _keyed(table(spark, sf, "events"))
+
+
+def _keyed(events: DataFrame) -> DataFrame:
+    return events.select(
         "event_id", "ts", "user_id", "event_type", "value", "props",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.col("value").cast("decimal(18,2)").cast("string").alias("text"),
@@ -172,9 +176,14 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
 
 def monitored(spark: SparkSession, sf: str) -> DataFrame:
     """Each event as a monitored value of its own version; a small `k` makes it a gap."""
+    return monitored_of(table(spark, sf, "events"))
+
+
+def monitored_of(events: DataFrame) -> DataFrame:
+    """`monitored` of an events table or stream."""
     gap = F.col("k") < 10
     return conform(
-        _event_key(spark, sf).select(
+        _keyed(events).select(
             F.col("event_id").alias("dataset_version"),
             F.concat(F.lit("U"), F.col("user_id")).alias("curve_id"),
             chosen("event_type", POSITION_OF_EVENT).alias("position"),
@@ -253,6 +262,24 @@ def outbox(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def run_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Each order as a run's completion record; the order's own values decide what is wrong."""
+    key = F.col("o_orderkey").cast("string")
+    priority = F.substring("o_orderpriority", 1, 1)
+    named = F.when(priority == "1", F.concat(key, F.lit("x"))).otherwise(key)
+    rows = F.when(priority == "2", F.lit('"48"')).otherwise(F.lit("48"))
+    digest = F.when(priority == "3", F.lit("none")).otherwise(F.sha2(key, 256))
+    body = F.concat(
+        F.lit('{"schema":1,"run_id":"'), named, F.lit('","params_sha256":"'), digest,
+        F.lit('","rows":'), rows,
+        F.lit(',"outputs":{"shape_params.csv":1,"shape_params.sha256":1},"arguments":{},'
+              '"completed_at":"'), F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.lit('T00:00:00+00:00"}'),
+    )
+    cut = F.when(F.col("o_orderstatus") == "P", F.substring(body, 1, 40)).otherwise(body)
+    return table(spark, sf, "orders").select("o_custkey", key.alias("run_id"), cut.alias("body"))
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """The result in types both engines print alike: decimals as doubles, dates and times as text."""
     out = []
