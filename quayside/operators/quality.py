@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,27 +120,26 @@ def rejection_counts(rejected: DataFrame, by: tuple[str, ...] = ()) -> DataFrame
     return rejected.groupBy(*by, "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
-class Quality(NamedTuple):
-    report: dict
-    series: DataFrame
-    issues: DataFrame
+def quality_tables(
+    silver: DataFrame, current: DataFrame, requests: DataFrame, catalog: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(series, issues): the last observation and warning of every requested series, and the
+    incomplete series. `current` needs only (series_id, observation_date)."""
+    key = ["series_id", "observation_date"]
+    known = current.select(*key).unionByName(silver.select(*key))
+    issues = completeness_issues(completeness(silver, requests, catalog))
+    return last_observations(known, requests, catalog), issues
 
 
 def quality_report(
-    silver: DataFrame, rejected: DataFrame, current: DataFrame, requests: DataFrame,
-    catalog: DataFrame,
-) -> Quality:
-    """The report of one run, and the full tables behind it.
-
-    The report is a document for people: its counts are exact, its lists stop at REPORT_LINES.
-    `series` (last observation and warning per requested series) and `issues` (incomplete series)
-    hold everything. Reasons quote the offending text, so they are counted with it blanked;
-    `rejection_counts` gives them in full.
+    silver: DataFrame, rejected: DataFrame, series: DataFrame, issues: DataFrame
+) -> dict:
+    """The report of one run, from stored tables.
+
+    It is a document for people: its counts are exact, its lists stop at REPORT_LINES, and the
+    tables it is made from hold everything. Reasons quote the offending text, so they are counted
+    with it blanked; `rejection_counts` gives them in full.
     """
-    issues = completeness_issues(completeness(silver, requests, catalog))
-    key = ["series_id", "observation_date"]
-    known = current.select(*key).unionByName(silver.select(*key))
-    series = last_observations(known, requests, catalog)
     kind = F.regexp_replace(F.regexp_replace("reason", r"'.*'", "'...'"), r"-?\d[\d.]*$", "...")
     reasons = (
         rejected.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows"))
@@ -151,7 +148,7 @@ def quality_report(
     counts = [df.count() for df in (silver, rejected, issues)]
     top = lambda df, *order: df.orderBy(*order).limit(REPORT_LINES).collect()
     lasts = top(series.filter("last is not null"), "series_id")
-    report = {
+    return {
         "status": "quarantined" if counts[1] or counts[2] else "passed",
         "accepted": counts[0],
         "rejected": counts[1],
@@ -163,7 +160,6 @@ def quality_report(
         ],
         "incomplete": [r["message"] for r in top(issues, "request_id", "series_id")],
     }
-    return Quality(report, series, issues)
 
 
 def single_source(df: DataFrame, limit: int = 2) -> list[str]:
