@@ -39,31 +39,26 @@ def month_key(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 
 
-def _week_date(year: Column, week: Column, weekday: Column) -> Column:
-    """The date of an ISO week day, null when that year has no such week."""
-    fourth = F.make_date(year, F.lit(1), F.lit(4))
-    monday = F.date_sub(fourth, F.weekday(fourth))
-    day = F.date_add(monday, ((week - 1) * 7 + weekday - 1).cast("int"))
-    next_fourth = F.make_date(year + 1, F.lit(1), F.lit(4))
-    in_year = F.date_add(monday, ((week - 1) * 7).cast("int")) < F.date_sub(
-        next_fourth, F.weekday(next_fourth)
-    )
-    return F.when((week >= 1) & (weekday.between(1, 7)) & in_year & (year >= 1), day)
-
-
 def iso_date(text: Column) -> Column:
-    """The date an ISO 8601 calendar or week date names, in extended or basic form, else null.
+    """The date that an ISO 8601 calendar date names, `2024-01-31` or `20240131`, else null.
 
     Spark's own cast also takes `2024-1-1` and timestamps, so the form is checked first.
     """
-    plain = F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text).when(
-        text.rlike(r"^[0-9]{8}$"),
+    plain = F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text)
+    basic = F.when(
+        text.rlike("^[0-9]{8}$"),
         F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2)),
     )
-    week = r"^([0-9]{4})(-?)W([0-9]{2})(?:\2([1-7]))?$"
-    part = lambda i: F.regexp_extract(text, week, i).try_cast("int")
-    from_week = F.when(
-        text.rlike(week), _week_date(part(1), part(3), F.coalesce(part(4), F.lit(1)))
-    )
-    year_is_real = F.substring(text, 1, 4) != "0000"
-    return F.coalesce(F.when(year_is_real, plain.try_cast("date")), from_week)
+    found = F.coalesce(plain, basic)
+    return F.when(~found.startswith("0000"), found.try_cast("date"))
+
+
+def iso_week_date(text: Column) -> Column:
+    """The date that an ISO 8601 week date names, such as `2024-W05-3`, else null."""
+    year, week = text.substr(1, 4).try_cast("int"), text.substr(7, 2).try_cast("int")
+    fourth = F.make_date(year, F.lit(1), F.lit(4))  # always in week 1
+    days = (week - 1) * 7 + text.substr(10, 1).try_cast("int") - 1
+    day = F.date_add(F.date_sub(fourth, F.weekday(fourth)), days)
+    # A 53rd week that the year does not have would come out as week 1 of the next year.
+    form = text.rlike("^[0-9]{4}-W[0-5][0-9]-[1-7]$") & (year > 0)
+    return F.when(form & (F.weekofyear(day) == week), day)

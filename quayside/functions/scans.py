@@ -117,24 +117,3 @@ def dense_sequence(df: DataFrame, order: Sequence[str], into: str, start: int =
         .withColumn(into, F.lit(start) + F.col("_offset") + inside + 1)
         .drop("_part", "_offset", "_place")
     )
-
-
-def salted_flag(
-    rows: DataFrame, keys: DataFrame, on: Sequence[str], spread: Sequence[str], into: str,
-    salts: int = 32,
-) -> DataFrame:
-    """Add `into`: whether the row's key is in `keys`, spreading the rows of one key over `salts`
-    tasks by the `spread` columns.
-
-    `keys` holds each key once. It is repeated per salt, which is cheap next to the rows.
-    """
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    salted_keys = keys.select(
-        *on, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-        F.lit(True).alias("_hit"),
-    )
-    return (
-        salted_rows.join(salted_keys, [*on, "_salt"], "left")
-        .withColumn(into, F.col("_hit").isNotNull())
-        .drop("_salt", "_hit")
-    )

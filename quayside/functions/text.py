@@ -11,14 +11,13 @@ def quoted(text: Column) -> Column:
     return F.concat(F.lit("'"), text, F.lit("'"))
 
 
-def shown(value: Column, kind: Column) -> Column:
-    """How a JSON scalar appears in a reason: text quoted, the rest as a literal."""
-    text = value.try_cast("string")
+def shown(text: Column, kind: Column) -> Column:
+    """How a JSON value appears in a reason, from its text and VARIANT schema."""
     return (
         F.when(kind.isNull() | (kind == "VOID"), F.lit("None"))
         .when(kind == "STRING", quoted(text))
         .when(kind == "BOOLEAN", F.initcap(text))
-        .otherwise(F.coalesce(text, F.to_json(value)))
+        .otherwise(text)
     )
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.dates import iso_date
-from quayside.functions.scans import salted_flag
+from quayside.functions.dates import iso_date, iso_week_date
+from quayside.functions.joins import flag, lookup
 from quayside.functions.text import quoted, shown
 from quayside.schemas import OBSERVATION_KEY, REJECTED, SILVER, conform
 
@@ -16,79 +16,85 @@ NUMERIC = r"^-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?$"
 CONFLICT = "conflicting duplicate in batch"
 
 
-def price_reason(value: Column, kind: Column) -> Column:
-    """Why a JSON value is not a price, null if it is one. `kind` is its VARIANT schema."""
-    text = value.try_cast("string")
-    whole = F.regexp_replace(F.split_part(text, F.lit("."), F.lit(1)), "^-", "")
+def price_check(text: Column, kind: Column) -> Column:
+    """Which rule a JSON value breaks as a price, null if none. `kind` is its VARIANT schema."""
+    whole = F.length(F.split_part(F.ltrim(text, F.lit("-")), F.lit("."), F.lit(1)))
     decimals = F.length(F.split_part(text, F.lit("."), F.lit(2)))
     # JSON integers beyond 64 bits arrive as DECIMAL(p,0); a JSON number with a point does not
     # have 19 digits and no decimals.
     large_int = kind.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$")
-    unsupported = (
-        F.when(kind.startswith("ARRAY"), "list")
+    return (
+        F.when(kind.isNull() | kind.isin("VOID", "BOOLEAN"), "missing")
+        .when(kind.startswith("ARRAY"), "list")
         .when(kind.startswith("OBJECT"), "dict")
-        .when(~((kind == "STRING") | (kind == "BIGINT") | large_int), "float")
+        .when(~kind.isin("STRING", "BIGINT") & ~large_int, "float")
+        .when(~text.rlike(NUMERIC), "malformed")
+        .when(decimals > PRICE_SCALE, "decimals")
+        .when(whole > INTEGER_DIGITS, "digits")
     )
+
+
+def price_reason(text: Column, check: Column) -> Column:
+    """The reason shown for a broken price rule."""
     return (
-        F.when(kind.isNull() | kind.isin("VOID", "BOOLEAN"), "missing or non-numeric value")
-        .when(unsupported.isNotNull(), F.concat(F.lit("unsupported value type "), unsupported))
-        .when(~text.rlike(NUMERIC), F.concat(F.lit("malformed numeric string "), quoted(text)))
-        .when(
-            decimals > PRICE_SCALE,
-            F.concat(F.lit(f"more than {PRICE_SCALE} decimal places: "), quoted(text)),
-        )
-        .when(
-            F.length(whole) > INTEGER_DIGITS,
-            F.concat(quoted(text), F.lit(f" exceeds Decimal(18, {PRICE_SCALE})")),
-        )
+        F.when(check == "missing", "missing or non-numeric value")
+        .when(check.isin("list", "dict", "float"),
+              F.concat(F.lit("unsupported value type "), check))
+        .when(check == "malformed", F.concat(F.lit("malformed numeric string "), quoted(text)))
+        .when(check == "decimals",
+              F.concat(F.lit(f"more than {PRICE_SCALE} decimal places: "), quoted(text)))
+        .when(check == "digits",
+              F.concat(quoted(text), F.lit(f" exceeds Decimal(18, {PRICE_SCALE})")))
     )
 
 
 def parse_rows(rows: DataFrame, catalog: DataFrame, input_id: str) -> DataFrame:
     """Every page row with its typed columns and `reason`, null when the row is accepted.
 
-    The first failing check gives the reason, in the order series, unit, period, price.
+    The first failing check gives the reason, in the order series, unit, period, price. The steps
+    are separate projections on purpose: each stays small enough to be compiled.
     """
-    cell = lambda name: F.try_variant_get("row", f"$.{name}", "variant")
-    names = ("series", "units", "period", "value")
-    cells = rows.select("*", *[cell(n).alias(n) for n in names])
-    kinds = cells.select("*", *[F.schema_of_variant(n).alias(f"{n}_kind") for n in names])
-    known = catalog.select(
-        F.col("series_id").alias("_known"), F.col("unit").alias("_unit"),
-    )
-    as_text = lambda n: F.when(
-        F.col(f"{n}_kind") == "STRING", F.col(n).try_cast("string")
+    cells = ("series", "units", "period", "value")
+    col = F.col
+    raw = rows.select(
+        "*", *[F.try_variant_get("row", f"$.{n}", "variant").alias(n) for n in cells]
     )
-    joined = kinds.withColumn("series_id", as_text("series")).join(
-        known, F.col("series_id") == F.col("_known"), "left"
+    texts = raw.select(
+        "source", "request_id", "page_no", "row_no", "retrieved_at", "raw_artifact_key", "row",
+        *[F.schema_of_variant(n).alias(f"{n}_kind") for n in cells],
+        *[F.coalesce(col(n).try_cast("string"), F.to_json(n)).alias(n) for n in cells],
+    ).withColumn("series_id", F.when(col("series_kind") == "STRING", col("series")))
+    units = catalog.select("series_id", col("unit").alias("unit"))
+    known = lookup(texts, units, ["series_id"], ["raw_artifact_key", "row_no"])
+    dated = known.withColumn("day", F.coalesce(iso_date(col("period")), iso_week_date(col("period"))))
+    check = (
+        F.when(col("unit").isNull(), "series")
+        .when(F.coalesce((col("units_kind") != "STRING") | (col("units") != col("unit")),
+                         F.lit(True)), "units")
+        .when(col("day").isNull(), "period")
+        .when(F.length("period") != 10, "daily")
+        .otherwise(price_check(col("value"), col("value_kind")))
     )
-    period_text = F.when(
-        F.col("period_kind").isNotNull(), F.coalesce(F.col("period").try_cast("string"), F.lit(""))
+    checked = dated.withColumn("check", check).withColumn(
+        "price", F.when(col("check").isNull(), col("value").try_cast("decimal(18,6)"))
     )
-    day = iso_date(period_text)
-    show = lambda n: shown(F.col(n), F.col(f"{n}_kind"))
+    show = lambda n: shown(col(n), col(f"{n}_kind"))
     reason = (
-        F.when(F.col("_known").isNull(), F.concat(F.lit("unknown series "), show("series")))
-        .when(
-            ~F.coalesce(as_text("units") == F.col("_unit"), F.lit(False)),
-            F.concat(F.lit("unit "), show("units"), F.lit(", expected "), quoted(F.col("_unit"))),
-        )
-        .when(day.isNull(), F.concat(F.lit("unparseable period "), show("period")))
-        .when(
-            F.length(period_text) != 10,
-            F.concat(F.lit("period is not a daily date: "), show("period")),
-        )
-        .otherwise(price_reason(F.col("value"), F.col("value_kind")))
+        F.when(col("check").isNull(), F.lit(None).cast("string"))
+        .when(col("check") == "series", F.concat(F.lit("unknown series "), show("series")))
+        .when(col("check") == "units", F.concat(
+            F.lit("unit "), show("units"), F.lit(", expected "), quoted(col("unit"))))
+        .when(col("check") == "period", F.concat(F.lit("unparseable period "), show("period")))
+        .when(col("check") == "daily",
+              F.concat(F.lit("period is not a daily date: "), show("period")))
+        .otherwise(price_reason(col("value"), col("check")))
     )
-    price = F.col("value").try_cast("string").try_cast("decimal(18,6)")
-    return joined.withColumn("reason", reason).select(
-        "source", "series_id",
-        day.alias("observation_date"),
-        F.when(F.col("reason").isNull(), price).alias("price"),
-        F.col("_unit").alias("unit"),
-        F.when(F.col("reason").isNull(), price <= 0).alias("non_positive"),
-        "retrieved_at", F.lit(input_id).alias("logical_input_id"), "raw_artifact_key",
-        "request_id", "page_no", "row_no", F.to_json("row").alias("row_json"), "reason",
+    return checked.select(
+        "source", "series_id", col("day").alias("observation_date"), "price", "unit",
+        (col("price") <= 0).alias("non_positive"), "retrieved_at",
+        F.lit(input_id).alias("logical_input_id"), "raw_artifact_key", "request_id", "page_no",
+        "row_no", F.when(col("check").isNotNull(), F.to_json("row")).alias("row_json"),
+        reason.alias("reason"),
     )
 
 
@@ -109,7 +115,7 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     silver = per_key.filter("_low = _high").select(*OBSERVATION_KEY, "_first.*")
     conflicts = per_key.filter("_low <> _high").select(*OBSERVATION_KEY)
     spread = ["raw_artifact_key", "row_no"]
-    marked = salted_flag(parsed, conflicts, OBSERVATION_KEY, spread, "_conflict")
+    marked = flag(parsed, conflicts, OBSERVATION_KEY, spread, "_conflict")
     as_row = F.to_json(F.struct(*sorted(SILVER.names)))
     rejected = marked.filter("reason is not null or _conflict").select(
         "source", "raw_artifact_key",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import business_days_after
+from quayside.functions.joins import lookup
 
 # When a series counts as incomplete, and when a warning is due.
 INCOMPLETE_MIN_DAYS, INCOMPLETE_SHARE = 3, 0.10
@@ -29,9 +30,9 @@ def completeness(
     wanted = (
         requests.filter(F.size("series_ids") >= 2)
         .withColumn("series_id", F.explode("series_ids"))
-        .join(catalog.select("series_id", "discontinued"), "series_id", "left")
-        .withColumn("until", until)
     )
+    ends = catalog.select("series_id", "discontinued")
+    wanted = lookup(wanted, ends, ["series_id"], [*by, "request_id"]).withColumn("until", until)
     key = [*by, "request_id"]
     in_window = F.col("observation_date").between(F.col("start"), F.col("end"))
     own = (
@@ -97,12 +98,13 @@ def last_observations(
     asked = requests.select(*by, F.explode("series_ids").alias("series_id")).distinct()
     asked = (
         asked.join(ends, list(by)) if by
-        else asked.withColumn("_run", F.lit(1)).join(ends.withColumn("_run", F.lit(1)), "_run")
+        else asked.withColumn("_run", F.lit(1)).join(  # one row, the end of this run
+            F.broadcast(ends.withColumn("_run", F.lit(1))), "_run")
     )
     newest = known.groupBy(*by, "series_id").agg(F.max("observation_date").alias("last"))
-    joined = (
-        asked.join(catalog.select("series_id", "discontinued"), "series_id", "left")
-        .join(newest, [*by, "series_id"], "left")
+    until = catalog.select("series_id", "discontinued")
+    joined = lookup(asked, until, ["series_id"], ["window_end", *by]).join(
+        newest, [*by, "series_id"], "left"
     )
     expected = F.least("window_end", F.coalesce("discontinued", "window_end"))
     lag = F.when(F.col("last").isNotNull(), business_days_after(F.col("last"), expected))
