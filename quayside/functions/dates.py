@@ -44,9 +44,9 @@ def iso_date(text: Column) -> Column:
 
     Spark's own cast also takes `2024-1-1` and timestamps, so the form is checked first.
     """
-    plain = F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text)
+    plain = F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text)
     basic = F.when(
-        text.rlike("^[0-9]{8}$"),
+        text.rlike(r"^[0-9]{8}\z"),
         F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2)),
     )
     found = F.coalesce(plain, basic)
@@ -60,5 +60,5 @@ def iso_week_date(text: Column) -> Column:
     days = (week - 1) * 7 + text.substr(10, 1).try_cast("int") - 1
     day = F.date_add(F.date_sub(fourth, F.weekday(fourth)), days)
     # A 53rd week that the year does not have would come out as week 1 of the next year.
-    form = text.rlike("^[0-9]{4}-W[0-5][0-9]-[1-7]$") & (year > 0)
+    form = text.rlike(r"^[0-9]{4}-W[0-5][0-9]-[1-7]\z") & (year > 0)
     return F.when(form & (F.weekofyear(day) == week), day)

@@ -12,7 +12,7 @@ from quayside.schemas import OBSERVATION_KEY, REJECTED, SILVER, conform
 
 # The price contract, its accepted text form and the conflict reason.
 PRICE_SCALE, INTEGER_DIGITS = 6, 12
-NUMERIC = r"^-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?$"
+NUMERIC = r"^-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?\z"
 CONFLICT = "conflicting duplicate in batch"
 
 
