@@ -28,7 +28,7 @@ def lookup(
     rows: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[str],
     how: str = "left", limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join rows with a table that holds each key once.
+    """Join rows with a smaller table.
 
     A table counted to be small is broadcast, and the rows are not moved at all. A larger one is
     repeated per salt, and the rows of one key are spread over as many tasks by `spread`, so a key

@@ -35,9 +35,15 @@ def completeness(
     wanted = lookup(wanted, ends, ["series_id"], [*by, "request_id"]).withColumn("until", until)
     key = [*by, "request_id"]
     in_window = F.col("observation_date").between(F.col("start"), F.col("end"))
+    # Requests and dates meet month by month, so a series asked for in many windows is spread out
+    # and only windows that reach a date's month are looked at.
+    month = lambda day: F.trunc(day, "month")
+    months = F.sequence(month("start"), month("end"), F.expr("interval 1 month"))
     own = (
-        silver.select(*by, "series_id", "observation_date")
-        .join(wanted, [*by, "series_id"])
+        silver.select(*by, "series_id", "observation_date",
+                      month("observation_date").alias("_month"))
+        .join(wanted.filter("start <= end").withColumn("_month", F.explode(months)),
+              [*by, "series_id", "_month"])
         .filter(in_window)
         .select(*key, "series_id", "until", "observation_date")
         .distinct()
