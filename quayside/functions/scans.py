@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.session import shared_folder
+
 SKETCH_ACCURACY = 10_000
 BRACKET = 4 / SKETCH_ACCURACY
 CHUNK = 100_000
@@ -100,6 +102,7 @@ def dense_sequence(df: DataFrame, order: Sequence[str], into: str, start: int =
     numbering reads them twice and both reads must see the same partitions. One count per
     partition then turns positions within partitions into positions in the table.
     """
+    shared_folder(df.sparkSession)  # names the checkpoint folder where nothing has yet
     placed = (
         df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()).checkpoint()
     )

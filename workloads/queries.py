@@ -36,6 +36,7 @@ def query(fn: Query) -> Query:
     """Register a query under its function name, with its result in comparable types."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # as the SQL twins assume
         return t.comparable(fn(spark, sf_dir))
 
     QUERIES[fn.__name__] = run
