@@ -12,8 +12,12 @@ SALTS = 32
 
 
 def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most `rows` rows. Reads no more than it needs to know that."""
-    return table.limit(rows + 1).count() <= rows
+    """Whether a table has at most `rows` rows.
+
+    A plain count is summed on the cluster; a limit first would gather up to `rows` rows of every
+    partition in one task.
+    """
+    return table.count() <= rows
 
 
 def salted(rows: DataFrame, spread: Sequence[str], salts: int = SALTS) -> DataFrame:
