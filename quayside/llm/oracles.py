@@ -2,4 +2,92 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP5 = rf"""
+with item as (
+  select item_id::varchar item, regexp_extract_all({_LOW}, '{_WORDS}') w from benchmark
+), gram as (
+  select distinct item, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') g, least(len(w), 10) k
+  from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) p from item where len(w) > 0)
+), doc as (
+  select row_number() over () r, doc_id, regexp_extract_all({_LOW}, '{_WORDS}') w from documents
+), size as (
+  select distinct k from gram
+), place as (
+  select r, p, k, array_to_string(w[p:p + k - 1], ' ') g
+  from (select r, w, k, unnest(range(1, len(w) - k + 2)) p from doc, size where len(w) >= k)
+), found as (
+  select r, p, place.k, item from place join gram using (g, k)
+), hit as (
+  select r, count(distinct q) n_hit from (select r, unnest(range(p, p + k)) q from found) group by r
+), listed as (
+  select r, count(*) n_items, string_agg(item, ',' order by item) items
+  from (select distinct r, item from found where item is not null) group by r
+)
+select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
+  sha256(coalesce(items, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from doc left join hit using (r) left join listed using (r)
+"""
+
+
+def _branch(level: str, before: str, after: str) -> str:
+    """One level of the template tree: names branches, pools their labels, smooths their share."""
+    return f"""
+{after}_node as (
+  select host, template, {level}, sum(n) n, sum(m) m, sum(b) b from {before} group by all
+), {after}_all as (
+  select host, template, count(*) k, sum(n) an, sum(m) am, sum(b) ab from {after}_node group by all
+), {after}_named as (
+  select host, template, {level}, template || '/' || case when {level} = '' then ''
+    when k >= 16 and k >= 0.5 * an then '*'
+    when m > 0 and abs(b / m - ab / am) <= 1.96 * sqrt(ab / am * (1 - ab / am) / m) then '+'
+    else {level} end branch
+  from {after}_node join {after}_all using (host, template)
+), {after}_tree as (
+  select host, s1, s2, s3, n, m, b, purity, branch template
+  from {before} join {after}_named using (host, template, {level})
+), {after} as (
+  select host, s1, s2, s3, n, m, b, template, (pb + 10.0 * purity) / (pm + 10.0) purity
+  from {after}_tree join (select host, template, sum(b) pb, sum(m) pm from {after}_tree group by all) using (host, template)
+)"""
+
+
+def _shape(i: int) -> str:
+    return f"""coalesce(case when length(parts[{i}]) >= 32 then '{{long}}'
+      else regexp_replace(parts[{i}], '[0-9]+', '{{n}}', 'g') end, '')"""
+
+
+_FITS = "(host = '{0}' or ends_with(host, '.{0}')) and starts_with(path, '{1}')"
+OP10 = f"""
+with url as (
+  select page_id, case when strpos(coalesce(url, ''), '://') = 0 then ''
+    else substr(url, strpos(url, '://') + 3) end rest from pages
+), part as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from url
+), ruled as (
+  select *, case when {_FITS.format('www.example.com', '/en/')} then 'www.example.com/en/'
+    when {_FITS.format('example.com', '/en/')} then 'example.com/en/'
+    when {_FITS.format('net', '/es/')} then 'net/es/' when {_FITS.format('net', '/fr/')} then 'net/fr/'
+    when {_FITS.format('com', '/')} then 'com/' end as "rule",
+    list_filter(string_split(path, '/'), lambda s: s <> '') parts from part
+), shaped as (
+  select page_id, host, path, "rule", case when "rule" in ('com/', 'www.example.com/en/') then 'allow'
+    when "rule" is not null then 'block' end says,
+    {_shape(1)} s1, {_shape(2)} s2, {_shape(3)} || case when len(parts) > 3 then '/**' else '' end s3 from ruled
+), leaf as (
+  select host, s1, s2, s3, count(*)::double n, count(says)::double m, count(*) filter (says = 'block')::double b
+  from shaped group by all
+), root as (
+  select host, s1, s2, s3, n, m, b, '' template, (hb + 10.0 * g) / (hm + 10.0) purity
+  from leaf join (select host, sum(b) hb, sum(m) hm from leaf group by 1) using (host),
+    (select (coalesce(sum(b), 0) + 1) / (coalesce(sum(m), 0) + 2) g from leaf)
+), {_branch('s1', 'root', 'one')}, {_branch('s2', 'one', 'two')}, {_branch('s3', 'two', 'three')}
+select page_id, host, path, "rule", coalesce(says, case when purity >= 0.9 then 'block' else 'allow' end) verdict,
+  template, purity
+from shaped join three using (host, s1, s2, s3)
+"""
+
+ORACLES: dict[str, str] = {"op5_benchmark_hits": OP5, "op10_url_templates": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import mixing
+from quayside.llm import decontaminate, mixing, urls
 from quayside.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +23,15 @@ def query(fn: Query) -> Query:
 def op4_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document for a mix of sources weighing 1, 2, 3, 1, 2, 3, ..."""
     return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+@query
+def op5_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of ten words of a benchmark item."""
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allow or block for every page's url: the longest rule, else the purity of its template."""
+    return urls.judge(read(spark, sf_dir, "pages"))
