@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, mixing, urls
+from quayside.llm import decontaminate, mixing, ranking, urls
 from quayside.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,9 @@ def op5_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Allow or block for every page's url: the longest rule, else the purity of its template."""
     return urls.judge(read(spark, sf_dir, "pages"))
+
+
+@query
+def op7_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learnt from pairs of labelled ones."""
+    return ranking.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
