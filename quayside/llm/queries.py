@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, mixing, ranking, urls
+from quayside.llm import decontaminate, mixing, ranking, simhash, urls
 from quayside.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,9 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document, learnt from pairs of labelled ones."""
     return ranking.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op9_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document, linked at four or fewer bits."""
+    return simhash.classes(read(spark, sf_dir, "documents"))
