@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, mixing, ranking, simhash, urls
+from quayside.llm import decontaminate, divergence, mixing, ranking, simhash, urls
 from quayside.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,9 @@ def op7_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document, linked at four or fewer bits."""
     return simhash.classes(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict by distance to the language references, for every document."""
+    return divergence.judge(read(spark, sf_dir, "documents"))
