@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, divergence, mixing, ranking, simhash, urls
+from quayside.llm import (
+    decontaminate, divergence, html_extract, licenses, mixing, ranking, simhash, urls,
+)
 from quayside.llm.text import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +55,16 @@ def op9_simhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict by distance to the language references, for every document."""
     return divergence.judge(read(spark, sf_dir, "documents"))
+
+
+@query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page as plain text."""
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document."""
+    found = licenses.scan(read(spark, sf_dir, "documents"))
+    return found.withColumn("first_word", F.get("matches", F.lit(0))["start"]).drop("matches")
