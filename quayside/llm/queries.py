@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (
-    decontaminate, divergence, html_extract, licenses, mixing, ranking, simhash, urls,
+    brown, decontaminate, divergence, html_extract, licenses, mixing, ranking, simhash, urls,
 )
 from quayside.llm.text import read
 
@@ -68,3 +68,9 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices of every document."""
     found = licenses.scan(read(spark, sf_dir, "documents"))
     return found.withColumn("first_word", F.get("matches", F.lit(0))["start"]).drop("matches")
+
+
+@query
+def op2_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under a class-based bigram model."""
+    return brown.score(read(spark, sf_dir, "documents"))
