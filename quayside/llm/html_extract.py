@@ -131,6 +131,7 @@ NAMES = frozenset(
 TOKENS = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<]*\Z""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I)
 WHITE = re.compile(r"\s+")
+DECLARED = re.compile(r"""<html\b[^>]*?\slang\s*=\s*["']?\s*([a-z]+)""", re.I)
 
 
 @dataclass
@@ -277,7 +278,8 @@ def main_text(page: str | None, tree) -> str:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Main text of every row of `pages`: page_id, url, text (empty if none), n_chars (code points).
+    """Main text of every row of `pages`: page_id, url, text (empty if none), n_chars (code points),
+    and lang, the declared markup language (null if none).
 
     A null or empty page has an empty text; null ids and urls are kept; repeated rows are returned as
     often as they occur; a page of any length is read whole; no rows give no rows; other columns are
@@ -291,8 +293,9 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = [main_text(t.as_py(), tree) for t in batch.column("html")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
-                 pa.array([len(t) for t in texts], pa.int64())],
-                names=["page_id", "url", "text", "n_chars"])
+                 pa.array([len(t) for t in texts], pa.int64()),
+                 pa.array([m[1].lower() if (m := DECLARED.search(t.as_py())) else None for t in batch.column("html")], pa.string())],
+                names=["page_id", "url", "text", "n_chars", "lang"])
 
     return pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).mapInArrow(
-        run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
+        run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long, lang string")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (
-    brown, decontaminate, divergence, html_extract, licenses, mixing, ranking, simhash, urls,
+    brown, decontaminate, divergence, html_extract, langid, licenses, mixing, ranking, simhash, urls,
 )
 from quayside.llm.text import read
 
@@ -74,3 +74,15 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of every document under a class-based bigram model."""
     return brown.score(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from its text, its declaration and its source."""
+    return langid.of_documents(read(spark, sf_dir, "documents")).drop("digest")
+
+
+@query
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its main text, markup, address suffix and host."""
+    return langid.of_pages(html_extract.extract(read(spark, sf_dir, "pages")), read(spark, sf_dir, "documents"))
