@@ -10,17 +10,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import mixing
+from quayside.llm import decontaminate, langid, mixing, ranking, simhash
 from quayside.llm.text import cut, read
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score, learnt from the labelled ones, is at least 0.7."""
+    return ranking.keep(docs, read(spark, sf_dir, "labels"))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    return langid.keep(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by shingles of five words at a similarity of 0.8 or more."""
+    return simhash.keep_one(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of every remaining document for sources weighing 1, 2, 3, repeating."""
     return mixing.mix(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("mixture", mixture),
+    ("quality classifier", quality),
+    ("language ID", language),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", benchmark),
+    ("mixing to target weights", mixture),
 ]
 
 #: Trained models, near-duplicate groups and Newton steps are beyond SQL.

@@ -13,9 +13,9 @@ Candidates
     how many the sets are follows from the number of fingerprints.
 
 Pivots
-    For every fingerprint the Hamming distances to a list of reference fingerprints are computed
-    once. Two fingerprints in one cell whose distances to any reference differ by more than
-    ``distance`` cannot be within it and are discarded; the others are compared bit by bit.
+    A cell starts with the table of Hamming distances of its fingerprints to a list of reference
+    fingerprints. Two whose distances to any reference differ by more than ``distance`` cannot be
+    within it and are discarded; the others are compared bit by bit.
 
 A cell that holds more than `CELL` fingerprints is split into blocks, and every pair of blocks is a
 cell of its own, so no task gets an unbounded cell. Each cell gives only the links of a least-distance
@@ -113,6 +113,11 @@ def references(bits: int, count: int = PIVOTS) -> np.ndarray:
     return np.random.default_rng(SEED).integers(0, 1 << 64, (count, bits // 64), dtype=np.uint64)
 
 
+def pivot_table(lanes: np.ndarray, bits: int) -> np.ndarray:
+    """Hamming distances of fingerprints (rows of uint64 lanes) to every reference."""
+    return np.stack([np.bitwise_count(lanes ^ r).sum(1) for r in references(bits)], axis=1).astype(np.uint8)
+
+
 def block_keys(bits: int, distance: int, n: int) -> list[list[int]]:
     """Sets of bit positions of which every pair within `distance` agrees in one.
 
@@ -144,8 +149,7 @@ def similar_distance(bits: int, similarity: float) -> int:
 
 
 def _dealt(nodes: DataFrame, keys: list[list[int]], bits: int) -> DataFrame:
-    """A row per node and key: cell (hash of the key's number and bits), node, fp, and the pivot
-    table (one byte per reference)."""
+    """A row per node and key: cell (hash of the key's number and bits), node and fp."""
     positions = [np.asarray(k) for k in keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +157,6 @@ def _dealt(nodes: DataFrame, keys: list[list[int]], bits: int) -> DataFrame:
             for at in range(0, whole.num_rows, 4096):
                 batch = whole.slice(at, 4096)
                 raw = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(-1, bits // 8)
-                lanes = raw.view(">u8").astype(np.uint64)
-                table = np.bitwise_count(lanes[:, None, :] ^ references(bits)[None]).sum(2).astype(np.uint8)
-                tables = pa.array([r.tobytes() for r in table], pa.binary())
                 flat = np.unpackbits(raw, axis=1)
                 for number, own in enumerate(positions):
                     code = np.packbits(flat[:, own], axis=1)
@@ -165,11 +166,10 @@ def _dealt(nodes: DataFrame, keys: list[list[int]], bits: int) -> DataFrame:
                     for lane in padded.view(np.uint64).T:
                         cell = _mixed(cell ^ lane, 7)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cell.view(np.int64)), batch.column("node"), batch.column("fp"), tables],
-                        names=["cell", "node", "fp", "table"])
+                        [pa.array(cell.view(np.int64)), batch.column("node"), batch.column("fp")],
+                        names=["cell", "node", "fp"])
 
-    kind = dict(nodes.dtypes)["node"]
-    return nodes.select("node", "fp").mapInArrow(run, f"cell long, node {kind}, fp binary, table binary")
+    return nodes.select("node", "fp").mapInArrow(run, "cell long, node long, fp binary")
 
 
 def _close(lanes: np.ndarray, table: np.ndarray, distance: int) -> np.ndarray:
@@ -215,13 +215,13 @@ def _large(lanes: np.ndarray, table: np.ndarray, distance: int) -> np.ndarray:
 
 
 def _linked(bits: int, distance: int):
-    """Task function: cells (lists of node, fp and table) to links a, b."""
+    """Task function: cells (lists of node and fp) to links a, b."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             members = batch.column("members")
-            node, fp, table = members.flatten().flatten()
+            node, fp = members.flatten().flatten()
             lanes = np.frombuffer(b"".join(fp.to_pylist()), np.uint8).reshape(-1, bits // 8).view(">u8").astype(np.uint64)
-            pivots = np.frombuffer(b"".join(table.to_pylist()), np.uint8).reshape(-1, PIVOTS)
+            pivots = pivot_table(lanes, bits)
             sizes = np.asarray(members.value_lengths())
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
             left, right = [], []
@@ -257,13 +257,12 @@ def links(nodes: DataFrame, keys: list[list[int]], bits: int, distance: int, cel
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
     other = F.sequence(F.lit(0), F.col("parts") - 1)
     placed = held.withColumn("_own", own).select(
-        "cell", "node", "fp", "table", "_own", F.explode(other).alias("_other")
+        "cell", "node", "fp", "_own", F.explode(other).alias("_other")
     ).withColumns({"i": F.least("_own", "_other"), "j": F.greatest("_own", "_other")})
     cells = placed.groupBy("cell", "i", "j").agg(
-        F.collect_list(F.struct("node", "fp", "table")).alias("members")
+        F.collect_list(F.struct("node", "fp")).alias("members")
     ).where(F.size("members") > 1)
-    kind = dict(nodes.dtypes)["node"]
-    found = cells.select("members").mapInArrow(_linked(bits, distance), f"a {kind}, b {kind}")
+    found = cells.select("members").mapInArrow(_linked(bits, distance), "a long, b long")
     return cut(found.distinct(), "simhash-links")
 
 
@@ -280,15 +279,17 @@ def classes(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
     class has none); repeated rows are returned as often as they occur; no rows give no rows; other
     columns are not looked at.
     """
-    prints = cut(fingerprints(docs, size, 64).select("doc_id", F.hex("fp").alias("node")), "simhash")
+    number = F.conv(F.hex("fp"), 16, -10).cast("long")
+    prints = cut(fingerprints(docs, size, 64).select("doc_id", number.alias("node")), "simhash")
     nodes = cut(prints.groupBy("node").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     keys = block_keys(64, distance, nodes.count())
-    found = components(links(nodes.select("node", F.unhex("node").alias("fp")), keys, 64, distance))
+    digits = F.lpad(F.hex("node"), 16, "0")
+    found = components(links(nodes.select("node", F.unhex(digits).alias("fp")), keys, 64, distance))
     placed = cut(nodes.join(found, "node", "left").select(
         "node", "least", F.coalesce("root", "node").alias("root")), "simhash-roots")
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = placed.join(ids, "root").select("node", "component_id")
-    return prints.join(named, "node").select("doc_id", F.lower("node").alias("fingerprint"), "component_id")
+    return prints.join(named, "node").select("doc_id", F.lower(digits).alias("fingerprint"), "component_id")
 
 
 def _jaccard(size: int):
@@ -328,13 +329,23 @@ def groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bits: int =
 def keep_one(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """`docs`, with all its columns, without all but one document of each group of near-duplicates.
 
-    The document with the smallest id stays (null ids last; among rows of the same id, one).
+    The document with the smallest id stays (null ids last; of repeated rows, one). Texts that have no
+    words are one group. No rows give no rows.
     """
     digest = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    alike = groups(docs, size, similarity).withColumnRenamed("digest", "_digest")
-    rows = docs.select(F.struct("*").alias("_row"), digest.alias("_key"), F.col("doc_id").alias("_id"))
-    rooted = rows.join(alike, F.col("_key") == F.col("_digest"), "left").withColumn(
-        "_group", F.coalesce("root", "_key"))
-    order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_key"))
-    first = F.min_by(F.col("_row"), order)
-    return rooted.groupBy("_group").agg(first.alias("_row")).select("_row.*")
+    alike = groups(docs, size, similarity).select(F.col("digest").alias("_own"), "root")
+    keys = docs.select(F.col("doc_id").alias("_id"), digest.alias("_digest"))
+    rooted = keys.join(alike, F.col("_digest") == F.col("_own"), "left").select(
+        "_id", "_digest", F.coalesce("root", "_digest").alias("_group"))
+    rows = rooted.groupBy("_id", "_digest", "_group").agg(F.count(F.lit(1)).alias("_n"))
+    stays = rooted.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_digest"))).alias("_stay"))
+    judged = rows.join(stays, "_group").withColumn(
+        "_stays", F.col("_id").eqNullSafe(F.col("_stay")["_id"]) & (F.col("_digest") == F.col("_stay")["_digest"]))
+    judged = cut(judged.where("_n > 1 or not _stays").select("_id", "_digest", "_stays"), "simhash-judged")
+    keyed = docs.withColumn("__digest", digest)
+    here = keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed["__digest"] == F.col("_digest"))
+    clean = keyed.join(judged, here, "left_anti")
+    repeated = judged.where("_stays")
+    if not repeated.isEmpty():
+        clean = clean.unionByName(keyed.join(repeated, here, "left_semi").dropDuplicates(["doc_id", "__digest"]))
+    return clean.drop("__digest")
