@@ -24,14 +24,13 @@ WINDOW = 10
 BLOCK = 100_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORDS_KEPT = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-NO_WORDS = F.array().cast("array<string>")
 
 
 def normal_words(text: Column) -> Column:
     """Lower-cased words of ASCII letters, digits and anything beyond ASCII; null text has none."""
     low = lower_ascii(F.coalesce(text, F.lit("")))
     bare = F.regexp_replace(low, rf"^{SEPARATORS}|{SEPARATORS}$", "")
-    return F.when(bare == "", NO_WORDS).otherwise(F.split(bare, SEPARATORS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SEPARATORS))
 
 
 def hashed(parts: Column, at: Column, length: int) -> Column:
@@ -144,12 +143,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
-    bad = scan(docs, benchmark).where("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("spots").alias("_spots")
-    ).dropDuplicates(["_id", "_digest"])
-    here = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_digest"))
+    bad = cut(scan(docs, benchmark).where("contaminated").select("doc_id", "digest", "spots").dropDuplicates(
+        ["doc_id", "digest"]), "benchmark-hits")
+    here = docs["doc_id"].eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs["text"]) == bad["digest"])
     if remove == "documents":
         return docs.join(bad, here, "left_anti")
-    cut_text = F.when(F.col("_spots").isNull(), docs["text"]).otherwise(without_spans(docs["text"], F.col("_spots")))
+    cut_text = F.when(bad["spots"].isNull(), docs["text"]).otherwise(without_spans(docs["text"], bad["spots"]))
     joined = docs.join(bad, here, "left")
     return joined.select(*[cut_text.alias("text") if c == "text" else docs[c] for c in docs.columns])
