@@ -50,7 +50,7 @@ def base(docs: DataFrame) -> DataFrame:
     marked = marked.withColumn("_h", window_hashes(F.col("w")))
     twice = F.size(F.array_distinct("_h")) < F.size("_h")
     none = F.array().cast("array<struct<h:bigint,i:int>>")
-    placed = F.array_sort(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    placed = F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     marked = marked.withColumn("_s", F.when(twice, placed).otherwise(none))
     beside = lambda e, k: F.coalesce(e["h"] == F.get("_s", k)["h"], F.lit(False))
     found = F.filter("_s", lambda e, k: beside(e, k - 1) | beside(e, k + 1))
@@ -86,14 +86,16 @@ def common_words(docs: DataFrame, per_language: int = COMMON) -> list[str]:
     return sorted(r[0] for r in top.select("word").distinct().collect())  # per_language words a language
 
 
-def seen_words(parts: Column, common: list[str]) -> Column:
-    """Structs (i, n): the common words of a document by their place in the list, and how often."""
+def with_seen(rows: DataFrame, common: list[str]) -> DataFrame:
+    """Add `seen`, structs (i, n): the common words of a document by their place in the list, and how
+    often. The words found are a column of their own, as they are visited once per distinct one."""
     if not common:
-        return F.array().cast("array<struct<i:int,n:int>>")
+        return rows.withColumn("seen", F.array().cast("array<struct<i:int,n:int>>"))
     known = F.array(*map(F.lit, common))
-    hits = F.filter(F.transform(parts, lower_ascii), lambda w: w.isin(common))
-    return F.transform(F.array_distinct(hits), lambda c: F.struct(
-        (F.array_position(known, c) - 1).cast("int").alias("i"), F.size(F.filter(hits, lambda w: w == c)).alias("n")))
+    hits = F.filter(F.transform("w", lower_ascii), lambda w: w.isin(common))
+    return rows.withColumn("_hits", hits).withColumn("seen", F.transform(F.array_distinct("_hits"), lambda c: F.struct(
+        (F.array_position(known, c) - 1).cast("int").alias("i"),
+        F.size(F.filter("_hits", lambda w: w == c)).alias("n")))).drop("_hits")
 
 
 def _half(p: Column, q: Column) -> Column:
@@ -160,12 +162,11 @@ def measure(docs: DataFrame) -> tuple[DataFrame, list[Reference]]:
     """Counts of every document, written to the shared folder, and the references."""
     own = docs.select("doc_id", "text", "lang")
     common = common_words(own)
-    rows = base(own)
+    rows = with_seen(base(own), common)
     text = F.coalesce(F.col("text"), F.lit(""))
     counts = cut(rows.select(
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.length(text).alias("n_chars"), classes(text, F.col("n_symbols")).alias("classes"),
-        seen_words(F.col("w"), common).alias("seen"),
+        F.length(text).alias("n_chars"), classes(text, F.col("n_symbols")).alias("classes"), "seen",
     ), "divergence")
     return counts, references(counts, len(common))
 
