@@ -71,3 +71,7 @@ class AppendOnlyError(QuaysideError):
 
 class ReplayRefused(QuaysideError):
     """Replay only ever writes to stores that hold synthetic data."""
+
+
+class ConfigError(QuaysideError):
+    """The session lacks a setting that a cluster needs."""

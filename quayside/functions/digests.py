@@ -7,51 +7,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ORDERED_LIMIT = 100_000
-
 
 def fingerprint(
     df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
     """(rows, digest), for the table or per `by` group, whatever the row order or partitioning.
 
-    Two independent 64-bit hashes of each row are cut into pieces small enough that a bigint sum
-    holds them for a trillion rows. Only partial sums are shuffled, so any table size works. The
-    null pattern is hashed too because the hash function itself skips nulls.
+    A row is hashed with SHA-256 over its JSON text, which tells nulls from texts and columns from
+    each other. The hashes are added up as pieces of 60 bits in wide decimals, so only partial sums
+    are shuffled and any table size works; the digest is the SHA-256 of the row count and the sums.
     """
     names = list(columns or [c for c in df.columns if c not in by])
-    cells = [c for n in names for c in (F.col(n), F.col(n).isNull())]
-    hashed = df.select(
-        *by, *[F.xxhash64(F.lit(seed), *cells).alias(f"h{seed}") for seed in (1, 2)]
-    )
+    text = F.to_json(F.struct(*names), {"ignoreNullFields": "false", "timeZone": "UTC"})
+    hashed = df.select(*by, F.sha2(text, 256).alias("_h"))
+    piece = lambda at, size: F.conv(F.substring("_h", at, size), 16, 10).cast("decimal(38,0)")
     sums = [
-        F.coalesce(
-            F.sum(F.shiftrightunsigned(F.col(f"h{seed}"), shift).bitwiseAND(F.lit(mask))), F.lit(0)
-        )
-        for seed in (1, 2)
-        for shift, mask in ((0, 0x1FFFFF), (21, 0x1FFFFF), (42, 0x3FFFFF))
+        F.coalesce(F.sum(piece(at, size)), F.lit(0)).cast("decimal(38,0)")
+        for at, size in ((1, 15), (16, 15), (31, 15), (46, 15), (61, 4))
     ]
     rows = F.count(F.lit(1))
-    text = F.concat_ws("|", *[c.cast("string") for c in (rows, *sums)])
-    return hashed.groupBy(*by).agg(rows.alias("rows"), F.sha2(text, 256).alias("digest"))
+    total = F.concat_ws("|", *[c.cast("string") for c in (rows, *sums)])
+    return hashed.groupBy(*by).agg(rows.alias("rows"), F.sha2(total, 256).alias("digest"))
 
 
-def ordered_digest(df: DataFrame, order: Sequence[str], line: Column) -> DataFrame:
+def ordered_digest(df: DataFrame, order: Sequence[str], line: Column, most: int = 10_000) -> DataFrame:
     """SHA-256 over the lines in `order`, for tables with a fixed small size such as parameters.
 
-    The lines meet in one row, so anything above ORDERED_LIMIT rows is refused; `fingerprint` is
-    the digest for tables that grow.
+    The lines meet in one row, so a table of more than `most` rows is refused before any line is
+    gathered; `fingerprint` is the digest for tables that grow.
     """
+    held = df.count()
+    if held > most:
+        raise ValueError(f"{held} rows are no table of a fixed small size (at most {most})")
     cell = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)], line.alias("line"))
-    small = df.limit(ORDERED_LIMIT + 1).agg(
+    small = df.agg(
         F.count(F.lit(1)).alias("rows"), F.array_sort(F.collect_list(cell)).alias("cells")
     )
     text = F.array_join(F.transform("cells", lambda c: c["line"]), "")
-    digest = F.when(
-        F.col("rows") > ORDERED_LIMIT,
-        F.raise_error(F.lit(f"ordered_digest takes at most {ORDERED_LIMIT} rows")),
-    ).otherwise(F.sha2(text, 256))
-    return small.select("rows", digest.alias("digest"))
+    return small.select("rows", F.sha2(text, 256).alias("digest"))
 
 
 def uuid5(namespace: str, name: Column) -> Column:

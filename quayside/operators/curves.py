@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.catalog import DEFAULT_CURVES, POSITIONS, CurveConfig
-from quayside.errors import MixedSourceError
+from quayside.errors import MixedSourceError, ShapeEstimationError
 from quayside.functions.numeric import half_even
 from quayside.schemas import CURVE
 
@@ -28,9 +28,15 @@ def position_order(position: Column | str = "position") -> Column:
 
 def factor_rows(params: DataFrame) -> list[tuple[int, list[tuple[str, Decimal]]]]:
     """Per month, each position with its factor exp(s). A parameter set has 48 rows by contract,
-    so the 34-digit exponentials are taken on the driver, where decimal arithmetic has them."""
+    so the 34-digit exponentials are taken on the driver, where decimal arithmetic has them. A set
+    with a cell of the grid twice, or with more cells than the grid, is refused before."""
+    cells, rows = params.select(
+        F.count_distinct(F.struct("position", "month")), F.count(F.lit(1))
+    ).first()
+    if rows > cells or rows > 12 * len(POSITIONS):
+        raise ShapeEstimationError(f"{rows} parameter rows for {cells} positions and months")
     months: dict[int, list[tuple[str, Decimal]]] = {}
-    for r in params.orderBy("position", "month").limit(1000).collect():
+    for r in params.orderBy("position", "month").collect():
         factor = CONTEXT.exp(r["s"]).quantize(FACTOR_SCALE, ROUND_HALF_EVEN, CONTEXT)
         months.setdefault(r["month"], [("Spot", Decimal(1))]).append((r["position"], factor))
     return sorted(months.items())

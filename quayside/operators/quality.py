@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,6 @@ from quayside.functions.joins import lookup
 # When a series counts as incomplete, and when a warning is due.
 INCOMPLETE_MIN_DAYS, INCOMPLETE_SHARE = 3, 0.10
 STALE_BUSINESS_DAYS = 5
-REPORT_LINES = 1000
 
 
 def completeness(
@@ -140,34 +141,43 @@ def quality_tables(
     return last_observations(known, requests, catalog), issues
 
 
-def quality_report(
-    silver: DataFrame, rejected: DataFrame, series: DataFrame, issues: DataFrame
-) -> dict:
-    """The report of one run, from stored tables.
+def quality_lines(
+    rejected: DataFrame, series: DataFrame, issues: DataFrame, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """The whole quality report as rows: kind, subject, text and rows.
 
-    It is a document for people: its counts are exact, its lists stop at REPORT_LINES, and the
-    tables it is made from hold everything. Reasons quote the offending text, so they are counted
-    with it blanked; `rejection_counts` gives them in full.
+    There is one line per distinct rejection reason with the rows it met, per series with its last
+    observation, per warning and per incomplete series of a request.
     """
-    kind = F.regexp_replace(F.regexp_replace("reason", r"'.*'", "'...'"), r"-?\d[\d.]*$", "...")
-    reasons = (
-        rejected.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows"))
-        .orderBy("kind").limit(REPORT_LINES).collect()
+    line = lambda kind, subject, text, rows=F.lit(None).cast("long"): (
+        *by, F.lit(kind).alias("kind"), subject.alias("subject"), text.alias("text"), rows.alias("rows")
     )
-    counts = [df.count() for df in (silver, rejected, issues)]
-    top = lambda df, *order: df.orderBy(*order).limit(REPORT_LINES).collect()
-    lasts = top(series.filter("last is not null"), "series_id")
+    nobody = F.lit(None).cast("string")
+    parts = [
+        rejection_counts(rejected, by).select(*line("reason", nobody, F.col("reason"), F.col("rows"))),
+        series.filter("last is not null").select(
+            *line("last observation", F.col("series_id"), F.col("last").cast("string"))),
+        series.filter("warning is not null").select(
+            *line("warning", F.col("series_id"), F.col("warning"))),
+        issues.select(*line(
+            "incomplete", F.concat_ws("/", "request_id", "series_id"), F.col("message"), F.col("missing"))),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def quality_report(silver: DataFrame, rejected: DataFrame, lines: DataFrame) -> dict:
+    """The verdict on one run with exact counts; `quality_lines` holds what they count."""
+    kinds = {r["kind"]: r["count"] for r in lines.groupBy("kind").count().collect()}  # four kinds
+    accepted, refused = silver.count(), rejected.count()
+    held = refused or kinds.get("incomplete", 0)
     return {
-        "status": "quarantined" if counts[1] or counts[2] else "passed",
-        "accepted": counts[0],
-        "rejected": counts[1],
-        "incomplete_series": counts[2],
-        "reasons": {r["kind"]: r["rows"] for r in reasons},
-        "last_observation": {r["series_id"]: str(r["last"]) for r in lasts},
-        "warnings": [
-            r["warning"] for r in top(series.filter("warning is not null"), "series_id")
-        ],
-        "incomplete": [r["message"] for r in top(issues, "request_id", "series_id")],
+        "status": "quarantined" if held else "passed",
+        "accepted": accepted,
+        "rejected": refused,
+        "incomplete_series": kinds.get("incomplete", 0),
+        "reasons": kinds.get("reason", 0),
+        "warnings": kinds.get("warning", 0),
+        "series": kinds.get("last observation", 0),
     }
 
 

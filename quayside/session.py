@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from quayside.errors import ConfigError
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -36,7 +38,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
 
-    Only where the setting is absent, as in a local test, is a folder made here.
+    Only a local session without the setting gets a folder of its own; on a cluster a folder of the
+    driver's machine would be of no use, so there the setting is asked for.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -45,6 +48,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ConfigError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

@@ -112,6 +112,7 @@ def page_shape_errors(pages: DataFrame) -> DataFrame:
         F.when(doc.isNull(), "the body is not JSON")
         .when(data_kind.isNull() | ~data_kind.startswith("ARRAY"), "response.data is not a list")
         .when(_total(doc).isNull(), "response.total is not an integer")
+        .when(F.col("page_no").isNull(), "the page has no number")
     )
     return pages.select("request_id", "page_no", detail.alias("detail")).filter("detail is not null")
 
@@ -133,7 +134,8 @@ def page_rows(pages: DataFrame) -> DataFrame:
 def reconcile_pages(pages: DataFrame) -> DataFrame:
     """Violations per request: request_id, kind, detail.
 
-    A row on two pages, a total that changes between pages, or a row count that is not the total.
+    A row that occurs twice, on two pages or on one; a total that changes between pages; a row count
+    that is not the total.
     """
     doc = _document()
     sized = pages.select(
@@ -156,8 +158,8 @@ def reconcile_pages(pages: DataFrame) -> DataFrame:
         page_rows(pages)
         .select("request_id", "page_no", cell("series"), cell("period"))
         .groupBy("request_id", "series", "period")
-        .agg(F.min("page_no").alias("first"), F.max("page_no").alias("last"))
-        .filter("first <> last")
+        .agg(F.count(F.lit(1)).alias("times"), F.min("page_no").alias("first"), F.max("page_no").alias("last"))
+        .filter("times > 1")
         .select(
             "request_id", F.lit("repeated row").alias("kind"),
             F.format_string("%s %s on pages %d and %d", "series", "period", "first", "last")

@@ -2,69 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from quayside.operators.alerts import crossed_rules
+from quayside.operators.alerts import crossings
 from quayside.schemas import MONITORED
 
 KEY = ["curve_id", "position"]
-STEP = (
-    "curve_id string, position string, dataset_version long, as_of date, price decimal(18,4), "
-    "previous_price decimal(18,4), previous_version long"
-)
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class PreviousValue(StatefulProcessor):
-    """Per curve position, remember the last priced version and emit each rise over it.
-
-    Versions up to the remembered one were already judged and are skipped, so a replay of a batch
-    changes nothing.
-    """
-
-    def init(self, handle) -> None:
-        self._last = handle.getValueState("last", "version long, price decimal(18,4)")
-
-    def handleInputRows(
-        self, key, rows: Iterator[pd.DataFrame], timerValues
-    ) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("dataset_version")
-        version, price = self._last.get() if self._last.exists() else (None, None)
-        out = []
-        for row in batch.itertuples(index=False):
-            if pd.isna(row.price) or (version is not None and row.dataset_version <= version):
-                continue
-            if price is not None and row.price > price:
-                out.append((*key, row.dataset_version, row.as_of_date, row.price, price, version))
-            version, price = int(row.dataset_version), row.price
-        if version is not None:
-            self._last.update((version, price))
-        yield pd.DataFrame(out, columns=[
-            *KEY, "dataset_version", "as_of", "price", "previous_price", "previous_version",
-        ])
-
-    def close(self) -> None:
-        pass
-
-
-def value_steps(monitored: DataFrame) -> DataFrame:
-    """Every rise of a monitored value over its previous one, from a stream of versions.
-
-    The state is one value per curve position. Rules are joined afterwards on the JVM, so their
-    number does not multiply what passes through Python. Versions arrive in order from batch to
-    batch; within a batch they are sorted here.
-    """
-    monitored.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return (
-        monitored.select(*KEY, "dataset_version", "as_of_date", "price")
-        .groupBy(*KEY)
-        .transformWithStateInPandas(PreviousValue(), STEP, "append", "none")
-    )
 
 
 def stream_monitored(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
@@ -74,21 +21,32 @@ def stream_monitored(spark: SparkSession, path: str, files_per_batch: int = 100)
 
 
 def run_crossings(
-    monitored: DataFrame, rules: Callable[[], DataFrame], out: str, checkpoint: str
+    monitored: DataFrame, landed: Callable[[], DataFrame], rules: Callable[[], DataFrame], out: str,
+    checkpoint: str,
 ) -> StreamingQuery:
-    """Write each micro-batch's crossings below `out`, judged by the rules at that time.
+    """Keep below `out` the crossings of every curve position, judged by the rules at that time.
 
-    A batch owns its folder and rewrites it on a retry, so every crossing is there exactly once.
+    `monitored` streams the values and `landed` reads all that have landed. Values need not arrive in
+    the order of their versions: a late one can end a crossing that was already found, so each
+    micro-batch judges the positions it touches anew, over all their values and on the JVM. A batch
+    owns its two folders and rewrites them on a retry.
     """
 
-    def judge(steps: DataFrame, batch_id: int) -> None:
-        crossed_rules(steps, rules()).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        touched = batch.select(*KEY).distinct()
+        touched.write.mode("overwrite").parquet(f"{out}/touched/batch={batch_id}")
+        judged = batch.sparkSession.read.schema(touched.schema).parquet(f"{out}/touched/batch={batch_id}")
+        history = landed().join(judged, KEY, "left_semi")
+        crossings(history, rules()).write.mode("overwrite").parquet(f"{out}/crossings/batch={batch_id}")
 
     return (
-        value_steps(monitored).writeStream.foreachBatch(judge)
+        monitored.writeStream.foreachBatch(judge)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
 def read_crossings(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(out).drop("batch").withColumn("as_of", F.col("as_of").cast("date"))
+    """The crossings of every position as the last batch that touched it found them."""
+    last = spark.read.parquet(f"{out}/touched").groupBy(*KEY).agg(F.max("batch").alias("batch"))
+    found = spark.read.parquet(f"{out}/crossings").join(last, [*KEY, "batch"])
+    return found.drop("batch").withColumn("as_of", F.col("as_of").cast("date"))

@@ -162,5 +162,10 @@ def test_redaction_blanks_echoed_and_stray_keys(spark):
     body = '{"request":{"params":{"api_key":"s3cr3t","x":1}},"note":"s3cr3t was here"}'
     got = column(spark, [body], "string").select(text.redact(F.col("v"), "s3cr3t")).collect()[0][0]
     assert "s3cr3t" not in got and got.count("REDACTED") == 2 and '"x":1' in got
-    other = column(spark, ['{"api_key": "o\\"ld"}'], "string").select(text.redact(F.col("v"), None))
-    assert other.collect()[0][0] == '{"api_key": "REDACTED"}'
+    data = '{"request":{"command":"x","params":{"a":1,"api_key": 12345}},"data":[{"api_key":"kept"}]}'
+    number = column(spark, [data], "string").select(text.redact(F.col("v"), None)).collect()[0][0]
+    assert "12345" not in number and '"api_key":"kept"' in number
+    nested = '{"request":{"o":{"p":{}},"params":{"q":{},"api_key":"leak"}}}'
+    assert "leak" not in column(spark, [nested], "string").select(text.redact(F.col("v"), None)).collect()[0][0]
+    other = column(spark, ['{"request":{"params":{"api_key": "o\\"ld"}}}'], "string").select(text.redact(F.col("v"), None))
+    assert other.collect()[0][0] == '{"request":{"params":{"api_key": "REDACTED"}}}'

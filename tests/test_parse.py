@@ -133,6 +133,7 @@ def test_pages_that_do_not_reconcile_are_refused(spark):
     kinds = lambda p: [r["kind"] for r in page_source.reconcile_pages(p).collect()]
     assert kinds(page(spark, [a, b], [c])) == []
     assert kinds(page(spark, [a, b], [b, c])) == ["repeated row"]
+    assert kinds(page(spark, [a, a], total=2)) == ["repeated row"]
     assert kinds(page(spark, [a, b], total=3)) == ["row count"]
     assert kinds(page(spark, [a, b], [c], total=[3, 4])) == ["total changed"]
     with pytest.raises(PageError, match="repeated row"):

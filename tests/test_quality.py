@@ -1,5 +1,7 @@
 from datetime import date, datetime
 
+from pyspark.sql import functions as F
+
 from quayside.catalog import series_catalog
 from quayside.operators import quality
 from quayside.schemas import REQUEST
@@ -81,11 +83,14 @@ def test_staleness_warnings_and_report(spark):
     rejected = spark.createDataFrame(
         [("s", "k", "{}", f"malformed numeric string '{v}'") for v in ("NA", "--")],
         "source string, raw_artifact_key string, row_json string, reason string")
-    report = quality.quality_report(batch, rejected, *tables)
-    assert report["warnings"] == [
-        "RBRTE: no observations yet",
-        "RWTC: last observation 2024-01-10, 102 business days old",
+    lines = quality.quality_lines(rejected, *tables)
+    of = lambda kind: sorted((r["subject"], r["text"], r["rows"]) for r in lines.filter(F.col("kind") == kind).collect())
+    assert of("warning") == [
+        ("RBRTE", "RBRTE: no observations yet", None),
+        ("RWTC", "RWTC: last observation 2024-01-10, 102 business days old", None),
     ]
-    assert report["last_observation"] == {"RCLC1": "2024-04-05", "RWTC": "2024-01-10"}
-    assert (report["status"], report["rejected"]) == ("quarantined", 2)
-    assert report["reasons"] == {"malformed numeric string '...'": 2}
+    assert of("last observation") == [("RCLC1", "2024-04-05", None), ("RWTC", "2024-01-10", None)]
+    assert sorted((r["text"], r["rows"]) for r in lines.filter("kind = 'reason'").collect()) == [
+        ("malformed numeric string '--'", 1), ("malformed numeric string 'NA'", 1)]
+    report = quality.quality_report(batch, rejected, lines)
+    assert (report["status"], report["rejected"], report["reasons"], report["warnings"]) == ("quarantined", 2, 2, 2)

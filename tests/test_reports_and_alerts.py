@@ -111,20 +111,36 @@ def test_stream_crossings_equal_batch_over_several_micro_batches(spark, folder):
     source, out = folder("values"), folder("crossed")
     rows = [(v, f"X{i}", "C1", date(2024, 1, 1), None if rng.random() < 0.2 else Decimal(rng.randrange(60, 80)), "ok")
             for v in range(1, 31) for i in range(5)]
-    for first in (1, 11, 21):  # three files, in version order
+    for first in (11, 21, 1):  # three files, not in version order
         part = [r for r in rows if first <= r[0] < first + 10]
         rng.shuffle(part)
         spark.createDataFrame(part, MONITORED).coalesce(1).write.mode("append").parquet(source)
     rules = spark.createDataFrame(
         [(f"r{i}", f"X{i % 5}", "C1", Decimal(65 + i), datetime(2024, 1, 1), None, i, None, None, None, None)
          for i in range(8)], RULE)
-    run = stream.run_crossings(stream.stream_monitored(spark, source, 1), lambda: rules, out, folder("cp"))
+    run = stream.run_crossings(
+        stream.stream_monitored(spark, source, 1), lambda: spark.read.schema(MONITORED).parquet(source), lambda: rules,
+        out, folder("cp"))
     run.awaitTermination()
     batch = alerts.crossings(spark.createDataFrame(rows, MONITORED), rules)
     key = lambda df: sorted(r["alert_id"] for r in df.collect())
     assert key(stream.read_crossings(spark, out)) == key(batch) != []
 
 
+def test_versions_that_land_late_lose_no_crossing(spark, folder):
+    source, out = folder("late"), folder("late_crossed")
+    for part in (((3, 60), (4, 80)), ((1, 65), (2, 72))):
+        rows = [(v, "X", "C1", date(2024, 1, 1), Decimal(p), "ok") for v, p in part]
+        spark.createDataFrame(rows, MONITORED).coalesce(1).write.mode("append").parquet(source)
+    rules = spark.createDataFrame(
+        [("r", "X", "C1", Decimal(70), datetime(2024, 1, 1), None, 0, None, None, None, None)], RULE)
+    stream.run_crossings(
+        stream.stream_monitored(spark, source, 1), lambda: spark.read.schema(MONITORED).parquet(source), lambda: rules,
+        out, folder("cp")).awaitTermination()
+    got = sorted((r["dataset_version"], int(r["price"]), int(r["previous_price"])) for r in stream.read_crossings(spark, out).collect())
+    assert got == [(2, 72, 65), (4, 80, 60)]
+
+
 def test_new_rules_start_from_the_current_version(spark):
     now = values(spark, [65, None], first=1).union(values(spark, [80], curve="BRENT", first=2))
     asked = lambda **kw: rule(spark, **kw).select("rule_id", "curve_id", "position", "threshold", "created_at")

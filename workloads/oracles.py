@@ -426,7 +426,7 @@ ORACLES = {
         UNION ALL
         SELECT source, 'repeated row', series || ' ' || period || ' on pages ' || min(page_no)
           || ' and ' || max(page_no)
-        FROM page_rows GROUP BY source, series, period HAVING min(page_no) <> max(page_no)""",
+        FROM page_rows GROUP BY source, series, period HAVING count(*) > 1""",
     "page_shape_errors": """
         SELECT 'E' || event_id AS request_id, CAST(1 AS BIGINT) AS page_no,
           'response.total is not an integer' AS detail FROM events
@@ -663,3 +663,9 @@ ORACLES |= {
             CAST(o_orderkey AS VARCHAR) DESC) AS nth FROM judged WHERE problem IS NULL)
         WHERE nth = 1""",
 }
+_ISSUES, _LASTS = ORACLES["completeness_issues"], ORACLES["last_observations"]
+ORACLES["quality_report"] = f"""
+    SELECT 'reason' AS kind, NULL AS subject, reason AS text, rows FROM ({ORACLES["rejection_counts"]})
+    UNION ALL SELECT 'last observation', series_id, CAST(last AS VARCHAR), NULL FROM ({_LASTS}) WHERE last IS NOT NULL
+    UNION ALL SELECT 'warning', series_id, warning, NULL FROM ({_LASTS}) WHERE warning IS NOT NULL
+    UNION ALL SELECT 'incomplete', request_id, message, NULL FROM ({_ISSUES})"""

@@ -269,6 +269,21 @@ def last_observations(spark, sf):
     return quality.last_observations(silver, t.requests(spark, sf), t.catalog(spark), t.BY)
 
 
+@query
+def quality_report(spark, sf):
+    """Every rejection reason, last observation, warning and incomplete series, as lines."""
+    silver, rejected = parse.split_parsed(_parsed(spark, sf))
+    wanted, known = t.requests(spark, sf), t.catalog(spark)
+    issues = quality.completeness_issues(quality.completeness(silver, wanted, known, t.BY))
+    lines = quality.quality_lines(
+        rejected, quality.last_observations(silver, wanted, known, t.BY), issues, t.BY)
+    request = F.when(F.col("kind") == "incomplete", F.substring_index("subject", "/", 1)).otherwise(F.col("subject"))
+    counted = F.when(F.col("kind") == "reason", F.col("rows"))
+    told = lines.select("kind", request.alias("subject"), "text", counted.alias("rows"))
+    reasons = told.filter("kind = 'reason'").groupBy("kind", "subject", "text").agg(F.sum("rows").alias("rows"))
+    return told.filter("kind <> 'reason'").unionByName(reasons)
+
+
 @query
 def page_reconciliation(spark, sf):
     """Users' pages disagree on the total, as each page states only its own rows."""
@@ -613,14 +628,16 @@ def streamed_observations(spark, sf):
 
 @query
 def streamed_crossings(spark, sf):
-    """Crossings found by the stateful stream over the events table."""
-    source = t.table(spark, sf, "events")
-    # A bracket glob matches the table whether it is one file or a folder of parts.
-    stream = spark.readStream.schema(source.schema).parquet(f"{sf}/events.parque[t]")
+    """Crossings found by the stream over the events, landed as files that each hold versions from
+    the whole range and are read one at a time."""
+    values, landed = t.monitored(spark, sf), scratch(spark, "landed")
+    dealt = values.repartition(8, F.pmod(F.xxhash64("dataset_version"), F.lit(8)))
+    dealt.write.parquet(landed)
     wanted = t.rules(spark, sf)
     out = scratch(spark, "crossings")
     run = stream_alerts.run_crossings(
-        t.monitored_of(stream), lambda: wanted, out, scratch(spark, "checkpoint")
+        stream_alerts.stream_monitored(spark, landed, 1), lambda: spark.read.parquet(landed),
+        lambda: wanted, out, scratch(spark, "checkpoint")
     )
     run.awaitTermination()
     return stream_alerts.read_crossings(spark, out).drop("created_at")
