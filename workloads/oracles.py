@@ -669,3 +669,13 @@ ORACLES["quality_report"] = f"""
     UNION ALL SELECT 'last observation', series_id, CAST(last AS VARCHAR), NULL FROM ({_LASTS}) WHERE last IS NOT NULL
     UNION ALL SELECT 'warning', series_id, warning, NULL FROM ({_LASTS}) WHERE warning IS NOT NULL
     UNION ALL SELECT 'incomplete', request_id, message, NULL FROM ({_ISSUES})"""
+_PIECES = ", ".join(
+    f"sum(CAST(('0x' || substr(h, {at}, {size})) AS UBIGINT)::HUGEINT)" for at, size in
+    ((1, 15), (16, 15), (31, 15), (46, 15), (61, 4)))
+_STAMP = "strftime(retrieved_at, '%Y-%m-%dT%H:%M:%S.%gZ')"
+ORACLES["table_fingerprint"] = f"""WITH {CELLS},
+    hashed AS (SELECT series_id, sha256('{{"source":"' || source || '","observation_date":"' || observation_date
+      || '","price":' || price || ',"unit":"$/BBL","non_positive":' || (price <= 0) || ',"retrieved_at":"' || {_STAMP}
+      || '","logical_input_id":"second","last_seen_at":"' || {_STAMP} || '"}}') AS h FROM obs)
+    SELECT series_id, count(*) AS rows, sha256(concat_ws('|', count(*), {_PIECES})) AS digest
+    FROM hashed GROUP BY series_id"""
