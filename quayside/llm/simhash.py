@@ -44,7 +44,7 @@ SEED = 42
 CELL = 1024
 PIVOTS = 16
 #: Pairs in one cell per fingerprint that the index aims to stay below.
-CROWD = 0.1
+CROWD = 1.0
 RECALL = 0.98
 
 
@@ -342,10 +342,11 @@ def keep_one(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFra
     judged = rows.join(stays, "_group").withColumn(
         "_stays", F.col("_id").eqNullSafe(F.col("_stay")["_id"]) & (F.col("_digest") == F.col("_stay")["_digest"]))
     judged = cut(judged.where("_n > 1 or not _stays").select("_id", "_digest", "_stays"), "simhash-judged")
-    keyed = docs.withColumn("__digest", digest)
-    here = keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed["__digest"] == F.col("_digest"))
-    clean = keyed.join(judged, here, "left_anti")
-    repeated = judged.where("_stays")
-    if not repeated.isEmpty():
-        clean = clean.unionByName(keyed.join(repeated, here, "left_semi").dropDuplicates(["doc_id", "__digest"]))
-    return clean.drop("__digest")
+    hashed = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    here = docs["doc_id"].eqNullSafe(judged["_id"]) & (hashed == judged["_digest"])
+    clean = docs.join(judged, here, "left_anti")
+    repeated = cut(judged.where("_stays"), "simhash-repeated")
+    if repeated.isEmpty():
+        return clean
+    here = docs["doc_id"].eqNullSafe(repeated["_id"]) & (hashed == repeated["_digest"])
+    return clean.unionByName(docs.join(repeated, here, "left_semi").dropDuplicates(["doc_id", "text"]))
