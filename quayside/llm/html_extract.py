@@ -145,7 +145,8 @@ class Block:
     heading: bool
 
 
-def _named(attributes: str) -> bool:
+def _named(attributes: str, inside: bool) -> bool:
+    """Whether attributes say that an element is hidden or no article; the head of an article is part of it."""
     for name, value in ATTRIBUTE.findall(attributes):
         value, name = value.strip("\"'").lower(), name.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -153,7 +154,7 @@ def _named(attributes: str) -> bool:
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
-        elif any(part in NAMES for part in re.split(r"[\s_-]+", value)):
+        elif any(part in NAMES and not (inside and part in ("head", "header")) for part in re.split(r"[\s_-]+", value)):
             return True
     return False
 
@@ -211,7 +212,7 @@ def blocks(page: str) -> list[Block]:
             links += 1
         if tag in VOID or m[3].endswith("/") and tag not in BLOCKS | RAW:
             continue
-        named = _named(m[3]) and tag not in ("html", "body")
+        named = _named(m[3], state[0] > 0) and tag not in ("html", "body")
         if tag in RAW:  # its content ends only at its own end tag
             stop = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = stop.end() if stop else end

@@ -11,7 +11,7 @@ PAGE = """<!DOCTYPE html><html lang="en-GB"><head><title>No</title><style>p{}</s
 <header><h1>Site</h1><p>Welcome to all of our many readers wherever they may be today</p></header>
 <nav><ul><li><a href="/a">Home</a></li><li><a href="/b">About us</a></li></ul></nav><!-- <p>no</p> -->
 <div class="cookie-notice">We use cookies to make this site better for you and everybody</div>
-<main><article><h1>Real &amp; title</h1><p>First   para with <a href="x>y">a link</a> and
+<main><article><div class="article-header"><h1>Real &amp; title</h1></div><p>First   para with <a href="x>y">a link</a> and
 more&#8212;words.<br>After the break.<p>Ok.<div class="ad">Buy this thing today and save a lot of money on it</div>
 <ul><li>One point</li><li><a href=z>Two</a></li></ul><aside>Related reading for those who want to know more</aside>
 <form><label>Mail</label><input><button>Go</button></form><blockquote>Quoted</blockquote></article>
