@@ -179,15 +179,20 @@ def test_values_of_a_version_must_exist(spark):
         alerts.values_of_version(held, known, 9)
 
 
-def test_cursors_resume_expire_or_reset():
-    epoch = "0" * 31 + "1"
-    state = alerts.LogState(epoch, 4, 10)
-    at = lambda c: tuple(alerts.resolve(state, c))
-    assert at(None) == at("") == (10, None, True)
-    assert at(f"{epoch}-4") == (4, None, False) and at(f"{epoch}-10") == (10, None, False)
-    assert at(f"{epoch}-3") == (10, "expired_cursor", False)
-    for bad in (f"{epoch}-11", f"{'f' * 32}-5", "garbage", f"{epoch}-04", f"{epoch}-5\n"):
-        assert at(bad) == (10, "unknown_cursor", False)
+def test_cursors_go_on_or_start_over(spark):
+    own, other = "0" * 31 + "1", "f" * 32
+    cursors = [None, ""] + [f"{e}-{n}" for e in (own, other) for n in range(13)] + [
+        "words", f"{own}-04", f"{own}-5\n", f"{own}-" + "9" * 19, f"x{own}-5", own]
+    df = spark.createDataFrame([(c,) for c in cursors], "c string")
+    for r in df.select("c", alerts.reading_place(F.col("c"), own, 4, 10).alias("place")).collect():
+        n = r["c"].removeprefix(f"{own}-") if r["c"] else ""
+        if n in map(str, range(4, 11)):
+            want = (int(n), None)
+        elif not r["c"]:
+            want = (10, None)
+        else:
+            want = (10, "expired_cursor" if n in map(str, range(4)) else "unknown_cursor")
+        assert tuple(r["place"]) == want, r["c"]
 
 
 def test_the_log_is_numbered_once_and_pruned_as_a_prefix(spark):

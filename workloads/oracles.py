@@ -679,3 +679,7 @@ ORACLES["table_fingerprint"] = f"""WITH {CELLS},
       || '","logical_input_id":"second","last_seen_at":"' || {_STAMP} || '"}}') AS h FROM obs)
     SELECT series_id, count(*) AS rows, sha256(concat_ws('|', count(*), {_PIECES})) AS digest
     FROM hashed GROUP BY series_id"""
+ORACLES["cursor_places"] = """
+    WITH back AS (SELECT event_id, CASE WHEN user_id % 5 = 0 OR (user_id % 7 = 0) OR event_id > 700
+        THEN 'unknown_cursor' WHEN event_id < 200 THEN 'expired_cursor' END AS reset FROM events)
+    SELECT event_id, CASE WHEN reset IS NULL THEN event_id ELSE 700 END AS after, reset FROM back"""

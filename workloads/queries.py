@@ -358,6 +358,16 @@ def alerts_after_cursor(spark, sf):
     return alerts.alerts_after(log, 25, 50).select("seq", "alert_id")
 
 
+@query
+def cursor_places(spark, sf):
+    """Readers that come back with each event as a cursor, to a log that holds a part of them."""
+    epoch = F.when(F.col("user_id") % 5 == 0, F.lit("f" * 32)).otherwise(F.lit("0" * 32))
+    number = F.when(F.col("user_id") % 7 == 0, F.concat(F.lit("0"), F.col("event_id"))).otherwise(F.col("event_id").cast("string"))
+    seen = t.table(spark, sf, "events").select(
+        "event_id", alerts.reading_place(F.concat_ws("-", epoch, number), "0" * 32, 200, 700).alias("place"))
+    return seen.select("event_id", "place.*")
+
+
 @query
 def latest_alerts(spark, sf):
     fired = _crossings(spark, sf)
