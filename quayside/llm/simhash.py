@@ -44,7 +44,7 @@ SEED = 42
 CELL = 1024
 PIVOTS = 16
 #: Pairs in one cell per fingerprint that the index aims to stay below.
-CROWD = 1.0
+CROWD = 0.1
 RECALL = 0.98
 
 
