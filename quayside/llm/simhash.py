@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.components import components
-from quayside.llm.text import cut
+from quayside.llm.text import cut, narrow
 
 SEED = 42
 CELL = 1024
@@ -318,8 +318,8 @@ def groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bits: int =
     nodes = seen.select(F.col("digest").alias("node"), "fp")
     keys = sampled_keys(bits, similarity, seen.count())
     near = links(nodes, keys, bits, similar_distance(bits, similarity))
-    wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    held = cut(texts.withColumn("node", F.xxhash64("text")).join(wanted, "node", "left_semi").dropDuplicates(["node"]), "simhash-held")
+    wanted = cut(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct(), "simhash-wanted")
+    held = cut(texts.withColumn("node", F.xxhash64("text")).join(narrow(wanted), "node", "left_semi").dropDuplicates(["node"]), "simhash-held")
     sides = near.join(held.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(
         held.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
     true = sides.mapInArrow(_jaccard(size), "a long, b long, similarity double").where(F.col("similarity") >= similarity)
@@ -344,7 +344,7 @@ def keep_one(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFra
     judged = cut(judged.where("_n > 1 or not _stays").select("_id", "_digest", "_stays"), "simhash-judged")
     hashed = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     here = docs["doc_id"].eqNullSafe(judged["_id"]) & (hashed == judged["_digest"])
-    clean = docs.join(judged, here, "left_anti")
+    clean = docs.join(narrow(judged), here, "left_anti")
     repeated = cut(judged.where("_stays"), "simhash-repeated")
     if repeated.isEmpty():
         return clean

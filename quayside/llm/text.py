@@ -59,3 +59,9 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def narrow(table: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A join side of a few numbers per row: broadcast if counted to have at most `rows` rows (some
+    tens of MB), so that the other side's texts stay where they are; else left to the planner."""
+    return F.broadcast(table) if table.count() <= rows else table
