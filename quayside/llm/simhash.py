@@ -8,9 +8,10 @@ Candidates
     Pivot distances alone cannot be joined without looking at all pairs, because distances to
     references crowd around half the bits. An index therefore deals fingerprints into cells: for an
     exact search, by every choice of ``blocks - distance`` of ``blocks`` equal parts (two
-    fingerprints that differ in no more bits than ``distance`` agree in one of them); for similarity
-    search, by random sets of bits, enough of them for the recall asked for. How fine the parts and
-    how many the sets are follows from the number of fingerprints.
+    fingerprints that differ in no more bits than ``distance`` agree in one of them), how fine
+    following from the number of fingerprints; for similarity search, by the shingles that come first
+    in one order of all shingles, rare ones before common ones, so many of each text that two texts
+    of that similarity share one of them, whatever the number of texts.
 
 Pivots
     A cell starts with the table of Hamming distances of its fingerprints to a list of reference
@@ -19,7 +20,9 @@ Pivots
 
 A cell that holds more than `CELL` fingerprints is split into blocks, and every pair of blocks is a
 cell of its own, so no task gets an unbounded cell. Each cell gives only the links of a least-distance
-spanning forest: the classes come out the same, and a dense group gives no square of links.
+spanning forest: the classes come out the same, and a dense group gives no square of links. Where
+links are judged again afterwards, a cell also gives the `NEAREST` closest of each member, because a
+link of the forest may fail.
 Identical fingerprints (or texts) are one node from the start.
 """
 
@@ -45,7 +48,12 @@ CELL = 1024
 PIVOTS = 16
 #: Pairs in one cell per fingerprint that the index aims to stay below.
 CROWD = 0.1
-RECALL = 0.98
+#: Deviations granted to the fingerprints of texts that are judged by their shingles afterwards.
+DEVIATIONS = 6
+NEAREST = 4
+#: Texts (about) whose shingles are counted for their order, and shingles whose counts are kept. The
+#: order decides how large cells are, never which texts meet.
+ORDERED, COMMON = 10_000, 500_000
 
 
 # Fingerprints
@@ -133,19 +141,64 @@ def block_keys(bits: int, distance: int, n: int) -> list[list[int]]:
     return sets
 
 
-def sampled_keys(bits: int, similarity: float, n: int, recall: float = RECALL) -> list[list[int]]:
-    """Random sets of bit positions of which a pair of that similarity agrees in one with `recall`."""
+def similar_distance(bits: int, similarity: float, deviations: float = DEVIATIONS) -> int:
+    """Bits in which a pair of shingle sets of that similarity differs, plus some deviations."""
     turn = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    width = max(8, math.ceil(math.log2(max(n, 2))))
-    tables = math.ceil(math.log(1 - recall) / math.log1p(-((1 - turn) ** width)))
-    rng = np.random.default_rng(SEED)
-    return [rng.choice(bits, width, replace=False).tolist() for _ in range(tables)]
+    return math.floor(bits * turn + deviations * math.sqrt(bits * turn * (1 - turn)))
 
 
-def similar_distance(bits: int, similarity: float) -> int:
-    """Bits in which a pair of shingle sets of that similarity differs, plus two deviations."""
-    turn = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(bits * turn + 2 * math.sqrt(bits * turn * (1 - turn)))
+def prefix(own: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a text's distinct shingles, by count and hash.
+
+    Texts of Jaccard similarity `similarity` share at least that share of the shingles of each, so
+    they share one of these. Texts without words share a zero.
+    """
+    if not len(own):
+        return np.zeros(1, np.uint64)
+    length = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1
+    seen = np.zeros(len(own), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+        seen = np.where(common[at] == own, counts[at], 0)
+    return own[np.lexsort((own, seen))[:length]]
+
+
+def _common(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of more than one of about `ORDERED` texts, sorted, and how many have them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column("text"):
+                own = np.unique(shingle_hashes(t.as_py(), size))
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], names=["shingle"])
+
+    every = max(1, docs.count() // ORDERED)
+    some = docs.select("text").where(F.pmod(F.xxhash64(F.xxhash64("text"), F.lit(SEED)), F.lit(every)) == 0)
+    held = some.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+    got = held.where("held > 1").orderBy(F.desc("held"), "shingle").limit(COMMON).toArrow()
+    shingle = got.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(shingle)
+    return shingle[order], got.column("held").to_numpy()[order]
+
+
+def _indexed(docs: DataFrame, size: int, similarity: float, bits: int) -> DataFrame:
+    """digest, fp and prefix of every text."""
+    spread = docs.sparkSession.sparkContext.broadcast(_common(docs, size))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, counts = spread.value
+        for batch in batches:
+            prints, firsts = [], []
+            for t in batch.column("text"):
+                h = shingle_hashes(t.as_py(), size)
+                prints.append(fingerprint(h, bits // 64))
+                firsts.append(prefix(np.unique(h), common, counts, similarity).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("digest"), pa.array(prints, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))],
+                names=["digest", "fp", "prefix"])
+
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.xxhash64(text).alias("digest"), text.alias("text"))
+    return rows.mapInArrow(run, "digest long, fp binary, prefix array<long>")
 
 
 def _dealt(nodes: DataFrame, keys: list[list[int]], bits: int) -> DataFrame:
@@ -214,7 +267,18 @@ def _large(lanes: np.ndarray, table: np.ndarray, distance: int) -> np.ndarray:
     return out
 
 
-def _linked(bits: int, distance: int):
+def _near(d: np.ndarray, distance: int, nearest: int) -> list[tuple[int, int]]:
+    """A forest of one cell and each member's `nearest` closest within `distance`."""
+    found = _forest(d, distance)
+    if nearest:
+        k = min(nearest, len(d) - 1)
+        to = np.argpartition(d, k - 1, axis=1)[:, :k]
+        i, at = np.nonzero(np.take_along_axis(d, to, 1) <= distance)
+        found += zip(i.tolist(), to[i, at].tolist())
+    return list({(min(x), max(x)) for x in found})
+
+
+def _linked(bits: int, distance: int, nearest: int = 0):
     """Task function: cells (lists of node and fp) to links a, b."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,7 +296,7 @@ def _linked(bits: int, distance: int):
                 if n > 64:
                     for s in own:
                         d = _large(lanes[s:s + n], pivots[s:s + n], distance)
-                        for i, j in _forest(d, distance):
+                        for i, j in _near(d, distance, nearest):
                             left.append(s + i), right.append(s + j)
                     continue
                 step = max(1, 200_000 // (n * n))
@@ -240,7 +304,7 @@ def _linked(bits: int, distance: int):
                     idx = own[at:at + step, None] + np.arange(n)
                     d = _close(lanes[idx], pivots[idx], distance)
                     for c in np.nonzero((d <= distance).any((1, 2)))[0]:
-                        for i, j in _forest(d[c], distance):
+                        for i, j in _near(d[c], distance, nearest):
                             left.append(idx[c, i]), right.append(idx[c, j])
             a, b = (node.take(pa.array(np.asarray(x, np.int64))) for x in (left, right))
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
@@ -250,7 +314,11 @@ def _linked(bits: int, distance: int):
 
 def links(nodes: DataFrame, keys: list[list[int]], bits: int, distance: int, cell: int = CELL) -> DataFrame:
     """Links (a, b) between nodes within `distance`, enough to give all their classes."""
-    rows = _dealt(nodes, keys, bits)
+    return _met(_dealt(nodes, keys, bits), bits, distance, cell)
+
+
+def _met(rows: DataFrame, bits: int, distance: int, cell: int = CELL, nearest: int = 0) -> DataFrame:
+    """Links (a, b) between nodes in one cell and within `distance`, of rows of cell, node and fp."""
     counts = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     parts = F.ceil(F.col("held") / F.lit(cell)).cast("int")
     held = rows.join(counts.select(F.col("cell"), parts.alias("parts")), "cell")
@@ -262,8 +330,8 @@ def links(nodes: DataFrame, keys: list[list[int]], bits: int, distance: int, cel
     cells = placed.groupBy("cell", "i", "j").agg(
         F.collect_list(F.struct("node", "fp")).alias("members")
     ).where(F.size("members") > 1)
-    found = cells.select("members").mapInArrow(_linked(bits, distance), "a long, b long")
-    return cut(found.distinct(), "simhash-links")
+    found = cells.select("members").mapInArrow(_linked(bits, distance, nearest), "a long, b long")
+    return cut(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
 
 
 # Operators
@@ -309,15 +377,17 @@ def _jaccard(size: int):
 def groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bits: int = 128) -> DataFrame:
     """Nearly equal texts: digest of a text and the digest `root` that stands for its group.
 
-    Texts are candidates if their fingerprints differ in no more bits than texts of that similarity
-    do (two deviations granted), and are linked if the Jaccard similarity of their shingle sets,
-    computed from the whole texts, reaches `similarity`. Only texts in links are listed.
+    Texts meet if they share one of their first shingles, as all of that similarity do, are candidates
+    if their fingerprints differ in no more bits than texts of that similarity do (`DEVIATIONS`
+    granted), and are linked if the Jaccard similarity of their shingle sets, computed from the whole
+    texts, reaches `similarity`. Of a cell's candidates a forest and the `NEAREST` of each text are
+    judged. Only texts in links are listed.
     """
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    seen = cut(fingerprints(docs, size, bits).groupBy("digest").agg(F.min("fp").alias("fp")), "simhash-texts")
-    nodes = seen.select(F.col("digest").alias("node"), "fp")
-    keys = sampled_keys(bits, similarity, seen.count())
-    near = links(nodes, keys, bits, similar_distance(bits, similarity))
+    once = _indexed(docs, size, similarity, bits).groupBy("digest").agg(F.first("fp").alias("fp"), F.first("prefix").alias("prefix"))
+    seen = cut(once, "simhash-texts")
+    rows = seen.select(F.explode("prefix").alias("cell"), F.col("digest").alias("node"), "fp")
+    near = _met(rows, bits, similar_distance(bits, similarity), nearest=NEAREST)
     wanted = cut(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct(), "simhash-wanted")
     held = cut(texts.withColumn("node", F.xxhash64("text")).join(narrow(wanted), "node", "left_semi").dropDuplicates(["node"]), "simhash-held")
     sides = near.join(held.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(

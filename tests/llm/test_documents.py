@@ -361,6 +361,24 @@ def test_near_copies_leave_one(spark):
         [g * 10 for g in range(30)] + [g * 10 + 9 for g in range(30)] + [6000, 6002])
 
 
+def test_pairs_just_above_the_similarity_are_all_linked(spark):
+    rng, rows = random.Random(12), []
+    for g in range(400):
+        n = rng.choice([40, 80, 300])
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+        copy = list(base)
+        while True:  # words are changed until one more would take the pair below the similarity
+            tried = list(copy)
+            tried[rng.randrange(n)] = f"x{rng.randrange(10 ** 9)}"
+            x, y = shingle_set(" ".join(base)), shingle_set(" ".join(tried))
+            if len(x & y) < 0.8 * len(x | y):
+                break
+            copy = tried
+        rows += [(2 * g, " ".join(base), "en", "s"), (2 * g + 1, " ".join(copy), "en", "s")]
+    left = {r.doc_id for r in simhash.keep_one(frame(spark, rows, False)).collect()}
+    assert left == {2 * g for g in range(400)}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     from quayside.llm.components import components
 
