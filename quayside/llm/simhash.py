@@ -181,7 +181,7 @@ def _common(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _indexed(docs: DataFrame, size: int, similarity: float, bits: int) -> DataFrame:
-    """digest, fp and prefix of every text."""
+    """digest, fp and prefix of every text, of its distinct shingles, each once, as `_jaccard` counts them."""
     spread = docs.sparkSession.sparkContext.broadcast(_common(docs, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,9 +189,9 @@ def _indexed(docs: DataFrame, size: int, similarity: float, bits: int) -> DataFr
         for batch in batches:
             prints, firsts = [], []
             for t in batch.column("text"):
-                h = shingle_hashes(t.as_py(), size)
-                prints.append(fingerprint(h, bits // 64))
-                firsts.append(prefix(np.unique(h), common, counts, similarity).view(np.int64))
+                own = np.unique(shingle_hashes(t.as_py(), size))
+                prints.append(fingerprint(own, bits // 64))
+                firsts.append(prefix(own, common, counts, similarity).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest"), pa.array(prints, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))],
                 names=["digest", "fp", "prefix"])

@@ -379,6 +379,16 @@ def test_pairs_just_above_the_similarity_are_all_linked(spark):
     assert left == {2 * g for g in range(400)}
 
 
+def test_a_copy_that_repeats_a_line_many_times_is_near(spark):
+    rng, rows = random.Random(13), []
+    for g in range(40):
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(104)]
+        rows.append((2 * g, " ".join(base), "en", "s"))
+        rows.append((2 * g + 1, " ".join(base + base[:14] * 15), "en", "s"))
+        assert len(shingle_set(rows[-2][1]) & shingle_set(rows[-1][1])) >= 0.8 * len(shingle_set(rows[-1][1]))
+    assert {r.doc_id for r in simhash.keep_one(frame(spark, rows, False)).collect()} == {2 * g for g in range(40)}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     from quayside.llm.components import components
 
