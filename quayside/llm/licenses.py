@@ -2,13 +2,14 @@
 
 Templates fall into length classes. For each class a document is cut into windows of twice the
 class's length that overlap by that length, so an occurrence always lies whole in one window. A
-window that shares a three-word shingle with any template gets a MinHash signature; bands of one row
+window with as many template shingles as some template needs gets a MinHash signature; bands of one row
 each retrieve the templates that agree with it anywhere. For a template of which a window contains
 the required share, the chance that no band agrees is below `miss(...)`: under one in ten thousand
 for the shortest template and far less for longer ones. What is retrieved is verified by counting
-the template's shingles in the window exactly.
+the template's shingles in the window exactly. Every template so found counts, unless one that holds
+more shingles was found on the same words.
 
-Windows without any template shingle cannot contain a template and are passed over; that loses
+Windows with fewer template shingles cannot contain a template and are passed over; that loses
 nothing.
 """
 
@@ -18,6 +19,7 @@ import re
 import zlib
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,30 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+#: Paragraphs by which files are put under a license.
+HEADERS = {
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+                  "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+                  'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
+                  "either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+               "file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+} | {
+    name: f"This program is free software; you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free "
+          f"Software Foundation; either version {version} of the License, or (at your option) any later version. This program is distributed in the "
+          "hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+          f"PURPOSE. See the GNU {kind} for more details."
+    for name, kind, version in (
+        ("GPL-2.0", "General Public License", 2), ("GPL-3.0", "General Public License", 3), ("LGPL-3.0", "Lesser General Public License", 3))
+}
+#: Whole license texts.
+TEXTS = {p.stem: p.read_text("utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+#: All templates of each license.
+ALL = {name: tuple(own[name] for own in (TEMPLATES, HEADERS, TEXTS) if name in own) for name in TEMPLATES}
 SHINGLE = 3
 CONTAINED = 0.8
 BANDS = 48
-CLASSES = (8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096)
+CLASSES = (8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 8192)
 TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -87,12 +109,13 @@ class Index:
     names: tuple[str, ...]
     sets: tuple[frozenset, ...]
     bands: dict
+    known: np.ndarray
 
 
-def index(templates: Mapping[str, str]) -> tuple[Index, ...]:
+def index(templates: Mapping[str, str | tuple[str, ...]]) -> tuple[Index, ...]:
     """Templates by length class; one of fewer than three words, or longer than any class, is refused."""
     by_class: dict[int, list[tuple[str, np.ndarray]]] = {}
-    for name, text in sorted(templates.items()):
+    for name, text in ((n, t) for n, own in sorted(templates.items()) for t in ((own,) if isinstance(own, str) else own)):
         h = np.unique(shingles(text))
         n = len(shingles(text)) + SHINGLE - 1
         if not len(h) or n > CLASSES[-1]:
@@ -104,55 +127,79 @@ def index(templates: Mapping[str, str]) -> tuple[Index, ...]:
         for t, (_, h) in enumerate(own):
             for band, value in enumerate(signature(h).tolist()):
                 bands.setdefault((band, value), []).append(t)
-        out.append(Index(length, tuple(n for n, _ in own), tuple(frozenset(h.tolist()) for _, h in own), bands))
+        out.append(Index(length, tuple(n for n, _ in own), tuple(frozenset(h.tolist()) for _, h in own), bands,
+                         np.unique(np.concatenate([h for _, h in own]))))
     return tuple(out)
 
 
-def find(text: str | None, indexes: tuple[Index, ...], known: np.ndarray, contained: float) -> list[tuple[str, int, float]]:
-    """The best template of each window, unless an overlapping one holds more: (name, first word of
-    the window, containment)."""
+def _place(part: np.ndarray, own: frozenset, start: int, contained: float) -> tuple[int, frozenset]:
+    """Where a template stands in a window: how many of its shingles a stretch of about its length
+    holds at most, and the words at which they start in the shortest such stretch."""
+    values = part.tolist()
+    at = [i for i, x in enumerate(values) if x in own]
+    length, low, best = int(len(own) / contained), 0, (0, 0, 0, 0)
+    count: dict = {}
+    for high, i in enumerate(at):
+        count[values[i]] = count.get(values[i], 0) + 1
+        while i - at[low] >= length or count[values[at[low]]] > 1:
+            left = values[at[low]]
+            count[left] -= 1
+            if not count[left]:
+                del count[left]
+            low += 1
+        best = max(best, (len(count), at[low] - i, low, high))
+    held, _, low, high = best
+    return held, frozenset(start + i for i in at[low:high + 1])
+
+
+def find(text: str | None, indexes: tuple[Index, ...], contained: float) -> list[tuple[str, int, float]]:
+    """The templates of each window, unless one that holds more stands on the same words: (name, first
+    word of the window, containment)."""
     h = shingles(text)
     if not len(h):
         return []
-    spots = np.nonzero(np.isin(h, known))[0]
     found = []
     for own in indexes:
-        step, near = own.length, {}
-        first = np.unique(np.concatenate([spots // step, spots // step - 1]))
-        for at in first[first >= 0].tolist() if len(spots) else []:
-            start = at * step
+        step = own.length
+        hits = np.concatenate([[0], np.cumsum(np.isin(h, own.known))])
+        if not hits[-1]:
+            continue
+        starts = np.arange(0, len(h), step)
+        ends = np.minimum(starts + 2 * step - SHINGLE + 1, len(h))
+        needed = min(int(np.ceil(contained * len(s) - 1e-9)) for s in own.sets)
+        for start in starts[hits[ends] - hits[starts] >= max(1, needed)].tolist():
             part = h[start:start + 2 * step - SHINGLE + 1]
             seen = {t for key in enumerate(signature(part).tolist()) for t in own.bands.get(key, ())}
-            if not seen:
-                continue
-            here = set(part.tolist())
-            share, t = max((len(own.sets[t] & here) / len(own.sets[t]), -t) for t in seen)
-            if share >= contained:
-                near[at] = (own.names[-t], start, share)
-        # what a window sees cut off counts only if no overlapping window sees more of it
-        found += [m for at, m in sorted(near.items()) if m[2] >= max((near[k][2] for k in (at - 1, at + 1) if k in near), default=0.0)]
-    return found
-
-
-def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, contained: float = CONTAINED) -> DataFrame:
+            here = set(part.tolist()) if seen else set()
+            for t in sorted(seen):
+                share = len(own.sets[t] & here) / len(own.sets[t])
+                if share >= contained:
+                    found.append((own.names[t], start, share, *_place(part, own.sets[t], start, contained)))
+    stay: list[int] = []
+    for k in sorted(range(len(found)), key=lambda k: -found[k][3]):
+        if not any(found[o][3] > found[k][3] and found[o][4] & found[k][4] for o in stay):
+            stay.append(k)
+    return [found[k][:3] for k in sorted(stay)]
+
+
+def scan(docs: DataFrame, templates: Mapping[str, str | tuple[str, ...]] = ALL, contained: float = CONTAINED) -> DataFrame:
     """License notices in every row of `docs`.
 
     Returns doc_id, n_licenses, licenses (names, sorted, comma-joined), containment (the best; 0 if
-    none) and matches (array of license, word where its window starts, containment). In each window
-    the template that is contained most counts, at equal shares the first by name; of overlapping
-    windows those that hold most.
+    none) and matches (array of license, word where its window starts, containment). A license may have
+    several templates. All that are found count; of those on the same words, the ones that hold most
+    shingles.
 
     A null, empty or very short text has none; texts are scanned whole; a null doc_id is kept;
     repeated rows are scanned alike; no rows give no rows; other columns are not looked at.
     """
     indexes = index(templates)
-    known = np.unique(np.array([s for i in indexes for own in i.sets for s in own], np.uint64))
     kind = dict(docs.dtypes)["doc_id"]
     match = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("containment", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [find(t.as_py(), indexes, known, contained) for t in batch.column("text")]
+            rows = [find(t.as_py(), indexes, contained) for t in batch.column("text")]
             names = [sorted({m[0] for m in r}) for r in rows]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([len(n) for n in names], pa.int64()),

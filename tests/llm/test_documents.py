@@ -212,6 +212,29 @@ def test_licenses_equal_brute_force(spark):
         assert licenses.miss(n, next(c for c in licenses.CLASSES if c >= n)) < 1e-4
 
 
+def test_licenses_side_by_side_are_all_found(spark):
+    rng, rows, want = random.Random(4), [], []
+    names = sorted(licenses.TEMPLATES)
+    for i, (a, b) in enumerate((a, b) for a in names for b in names if a != b):
+        rows.append((i, f"{prose(rng, 'en', i % 17)} {licenses.TEMPLATES[a]} {licenses.TEMPLATES[b]} {prose(rng, 'de', 9)}", "en", "s"))
+        want.append(",".join(sorted((a, b))))
+    got = {r.doc_id: r.licenses for r in licenses.scan(frame(spark, rows, False)).collect()}
+    assert [got[i] for i in range(len(rows))] == want
+
+
+def test_whole_license_texts_and_headers_are_found(spark):
+    rng, rows, want = random.Random(5), [], []
+    for name, text in [*licenses.TEXTS.items(), *licenses.HEADERS.items()]:
+        edited = text.split()
+        for k in range(20, len(edited), 60):
+            edited[k] = "edited"
+        for own in (text, " ".join(edited)):
+            rows.append((len(rows), f"{prose(rng, 'en', 30)}\n{own}\n{prose(rng, 'de', 30)}", "en", "s"))
+            want.append(name)
+    got = {r.doc_id: r.licenses for r in licenses.scan(frame(spark, rows, False)).collect()}
+    assert [got[i] for i in range(len(rows))] == want
+
+
 def test_quality_ranks_held_out_documents(spark):
     rows = documents(420)[:420]
     got = ranking.classify(frame(spark, rows), labels(spark, rows)).collect()
