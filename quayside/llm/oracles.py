@@ -90,4 +90,23 @@ select page_id, host, path, "rule", coalesce(says, case when purity >= 0.9 then
 from shaped join three using (host, s1, s2, s3)
 """
 
-ORACLES: dict[str, str] = {"op5_benchmark_hits": OP5, "op10_url_templates": OP10}
+_SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+OP12 = f"""
+with doc as (
+  select row_number() over () r, doc_id, string_split(coalesce(text, ''), chr(10)) ls from documents
+), line as (
+  select r, doc_id, unnest(ls) l, unnest(range(1, len(ls) + 1)) p from doc
+), keyed as (
+  select *, translate(trim(l, {_SPACE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k from line
+), often as (
+  select k, max(doc_id) owner from keyed where length(k) >= 20 group by k having count(distinct r) >= 3
+), judged as (
+  select keyed.*, often.k is null or owner is not distinct from doc_id stays
+  from keyed left join often on keyed.k = often.k
+)
+select any_value(doc_id) doc_id, count(*)::bigint n_lines, count(*) filter (not stays)::bigint n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) order by p) filter (stays), '')) kept_sha256
+from judged group by r
+"""
+
+ORACLES: dict[str, str] = {"op5_benchmark_hits": OP5, "op10_url_templates": OP10, "op12_line_dedup": OP12}

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (
-    brown, decontaminate, divergence, html_extract, langid, licenses, mixing, ranking, simhash, urls,
+    alignment, brown, decontaminate, divergence, html_extract, langid, licenses, line_dedup, mixing, ranking, simhash,
+    urls, whitening,
 )
 from quayside.llm.text import read
 
@@ -86,3 +87,23 @@ def op3_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page from its main text, markup, address suffix and host."""
     return langid.of_pages(html_extract.extract(read(spark, sf_dir, "pages")), read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 32 leading components of the grid covariance, whitened."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document before, dropped, and the digest of what is left."""
+    left = line_dedup.drop_repeated(read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op13_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's tokens under two tokenizers."""
+    aligned = alignment.align(read(spark, sf_dir, "documents"), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
