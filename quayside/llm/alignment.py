@@ -15,8 +15,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,9 @@ FOLDER = "/opt/tokenizers"
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Documents and bytes of a chunk; a longer document is a chunk of its own.
 CHUNK_DOCS, CHUNK_BYTES = 1024, 2_000_000
+#: Where byte-level vocabularies split a text before merging (fixed value).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_SPACE = 5000
 
 
 # Vocabularies
@@ -43,26 +47,56 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class ByteLevel:
+    """The byte-level tokenizer of a vocabulary file, its merges applied by rank.
+
+    The file's merges give the ids in their order, so its entries are a rank table, and the splitting
+    pattern is the fixed one of byte-level vocabularies. Looking for the end of very long white space
+    would overflow the stack of the faster encoder, so such texts go through the file's own.
+    """
+
+    def __init__(self, raw: bytes):
+        import tiktoken
+
+        document = json.loads(raw)
+        model = document["model"]
+        parts = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+        first = len(model["vocab"]) - len(model["merges"])
+        if any(model["vocab"]["".join(m)] != first + i for i, m in enumerate(parts)):
+            raise ValueError("the vocabulary's ids are not in the order of its merges")
+        byte = byte_level()
+        ranks = {bytes(byte[c] for c in entry): i for entry, i in model["vocab"].items()}
+        self.fast = tiktoken.Encoding("byte level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.raw = raw
+        self.bytes = [b""] * (1 + max([*ranks.values(), *(t["id"] for t in document["added_tokens"])]))
+        for entry, i in ranks.items():
+            self.bytes[i] = entry
+
+    @cached_property
+    def whole(self):
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_buffer(self.raw)
+        out.encode_special_tokens = True
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        if len(text) > LONG_SPACE and re.search(rf"\s{{{LONG_SPACE}}}", text):
+            return self.whole.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
+
 @lru_cache(maxsize=1)
 def _tokenizers(a: bytes, b: bytes):
     """Encoders of both sides and the bytes of their ids; one pair per Python worker."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import sentencepiece
-    from tokenizers import Tokenizer
 
-    left = Tokenizer.from_buffer(a)
-    left.encode_special_tokens = True
+    left = ByteLevel(a)
     right = sentencepiece.SentencePieceProcessor(model_proto=b)
-    byte = byte_level()
-    entries = {**json.loads(a)["model"]["vocab"]}
-    a_bytes = [b""] * left.get_vocab_size()
-    for entry, i in entries.items():
-        if all(c in byte for c in entry):
-            a_bytes[i] = bytes(byte[c] for c in entry)
     piece = lambda i: right.id_to_piece(i).replace("▁", " ").encode()
     b_bytes = [bytes([int(right.id_to_piece(i)[3:5], 16)]) if right.is_byte(i) else piece(i)
                for i in range(right.get_piece_size())]
-    return left, right, a_bytes, b_bytes
+    return left, right, left.bytes, b_bytes
 
 
 # Alignment
@@ -115,7 +149,7 @@ def align_chunk(texts: list[bytes], tools, digest: bool) -> dict:
     65,536 plus B id) with their numbers, flat, with `held` of them per document."""
     left, right, a_bytes, b_bytes = tools
     plain = [t.decode("utf-8", "replace") for t in texts]
-    a_lists = [e.ids for e in left.encode_batch_fast([" " + t for t in plain], add_special_tokens=False)]
+    a_lists = [left.encode(" " + t) for t in plain]
     b_lists = right.encode(plain, num_threads=1)
     for i, text in enumerate(texts):
         whole = b" " + text
@@ -123,7 +157,7 @@ def align_chunk(texts: list[bytes], tools, digest: bool) -> dict:
         if not same:
             a_lists[i], b_lists[i] = [], []
     n = len(texts)
-    flat = lambda lists: np.fromiter((x for own in lists for x in own), np.int64, sum(map(len, lists)))
+    flat = lambda lists: np.concatenate([np.empty(0, np.int64), *(np.asarray(x, np.int64) for x in lists)])
     a_ids, b_ids = flat(a_lists), flat(b_lists)
     n_a, n_b = (np.asarray([len(x) for x in lists], np.int64) for lists in (a_lists, b_lists))
     length = lambda names: np.fromiter(map(len, names), np.int64, len(names))

@@ -156,7 +156,7 @@ def brute_alignment(rows):
         left, right, a_bytes, b_bytes = alignment._tokenizers(a.read(), b.read())
     docs, counts = [], collections.Counter()
     for doc_id, text, *_ in rows:
-        a_ids = left.encode(" " + text, add_special_tokens=False).ids if text else []
+        a_ids = left.whole.encode(" " + text, add_special_tokens=False).ids if text else []
         b_ids = right.encode(text) if text else []
         whole = (" " + (text or "")).encode()
         if b"".join(a_bytes[i] for i in a_ids) != whole or b"".join(b_bytes[i] for i in b_ids) != whole:
@@ -220,6 +220,19 @@ def test_byte_level_table_is_a_bijection():
     assert sorted(table.values()) == list(range(256)) and table["Ġ"] == 32
 
 
+@pytest.mark.skipif(not TOKENIZERS, reason="the tokenizers are not here")
+def test_the_fast_encoder_splits_every_character_alike():
+    with open(f"{alignment.FOLDER}/{alignment.A}", "rb") as a:
+        left = alignment.ByteLevel(a.read())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3100 or c % 7 == 0)]
+    texts = [f" a{chr(c)}1 {chr(c)}{chr(c)} .{chr(c)}b\n{chr(c)}'s" for c in points]
+    texts += [" " * 20_000 + "x", "x" * 50_000, "a" + "\t" * 6000 + "b", "\n \n  x"]
+    for at in range(0, len(texts), 20_000):
+        part = texts[at:at + 20_000]
+        own = left.whole.encode_batch_fast(part, add_special_tokens=False)
+        assert [left.encode(t) for t in part] == [e.ids for e in own]
+
+
 @pytest.mark.skipif(not TOKENIZERS, reason="the tokenizers are not here")
 def test_every_entry_of_the_vocabularies_has_bytes():
     with open(f"{alignment.FOLDER}/{alignment.A}", "rb") as a, open(f"{alignment.FOLDER}/{alignment.B}", "rb") as b:
