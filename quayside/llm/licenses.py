@@ -65,6 +65,8 @@ SHINGLE = 3
 CONTAINED = 0.8
 BANDS = 48
 CLASSES = (8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096, 8192)
+#: Leading bits of a shingle by which nearly all that belong to no template are passed over.
+SCREEN = 20
 TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -132,6 +134,35 @@ def index(templates: Mapping[str, str | tuple[str, ...]]) -> tuple[Index, ...]:
     return tuple(out)
 
 
+@dataclass(frozen=True)
+class Table:
+    """Shingles of all templates in order, the length classes that have each (a bit per class), and the
+    leading `SCREEN` bits that occur among them."""
+
+    shingles: np.ndarray
+    classes: np.ndarray
+    screen: np.ndarray
+
+
+def table(indexes: tuple[Index, ...]) -> Table:
+    every = np.unique(np.concatenate([np.empty(0, np.uint64), *(own.known for own in indexes)]))
+    classes = np.zeros(len(every), np.uint16)
+    for k, own in enumerate(indexes):
+        classes[np.searchsorted(every, own.known)] |= 1 << k
+    screen = np.zeros(1 << SCREEN, bool)
+    screen[(every >> np.uint64(64 - SCREEN)).astype(np.int64)] = True
+    return Table(every, classes, screen)
+
+
+def hits(h: np.ndarray, known: Table) -> tuple[np.ndarray, np.ndarray]:
+    """Where a text's shingles are some template's, and the classes of those."""
+    at = np.flatnonzero(known.screen[(h >> np.uint64(64 - SCREEN)).view(np.int64)])
+    own = h[at]
+    place = np.minimum(np.searchsorted(known.shingles, own), len(known.shingles) - 1)
+    same = known.shingles[place] == own if len(at) else np.zeros(0, bool)
+    return at[same], known.classes[place[same]]
+
+
 def _place(part: np.ndarray, own: frozenset, start: int, contained: float) -> tuple[int, frozenset]:
     """Where a template stands in a window: how many of its shingles a stretch of about its length
     holds at most, and the words at which they start in the shortest such stretch."""
@@ -152,22 +183,21 @@ def _place(part: np.ndarray, own: frozenset, start: int, contained: float) -> tu
     return held, frozenset(start + i for i in at[low:high + 1])
 
 
-def find(text: str | None, indexes: tuple[Index, ...], contained: float) -> list[tuple[str, int, float]]:
+def find(text: str | None, indexes: tuple[Index, ...], known: Table, contained: float) -> list[tuple[str, int, float]]:
     """The templates of each window, unless one that holds more stands on the same words: (name, first
     word of the window, containment)."""
     h = shingles(text)
-    if not len(h):
-        return []
+    at, classes = hits(h, known)
     found = []
-    for own in indexes:
+    for k, own in enumerate(indexes):
         step = own.length
-        hits = np.concatenate([[0], np.cumsum(np.isin(h, own.known))])
-        if not hits[-1]:
+        held = at[classes >> k & 1 == 1]
+        needed = max(1, min(int(np.ceil(contained * len(s) - 1e-9)) for s in own.sets))
+        if len(held) < needed:
             continue
         starts = np.arange(0, len(h), step)
-        ends = np.minimum(starts + 2 * step - SHINGLE + 1, len(h))
-        needed = min(int(np.ceil(contained * len(s) - 1e-9)) for s in own.sets)
-        for start in starts[hits[ends] - hits[starts] >= max(1, needed)].tolist():
+        count = np.searchsorted(held, starts + 2 * step - SHINGLE + 1) - np.searchsorted(held, starts)
+        for start in starts[count >= needed].tolist():
             part = h[start:start + 2 * step - SHINGLE + 1]
             seen = {t for key in enumerate(signature(part).tolist()) for t in own.bands.get(key, ())}
             here = set(part.tolist()) if seen else set()
@@ -194,12 +224,13 @@ def scan(docs: DataFrame, templates: Mapping[str, str | tuple[str, ...]] = ALL,
     repeated rows are scanned alike; no rows give no rows; other columns are not looked at.
     """
     indexes = index(templates)
+    known = table(indexes)
     kind = dict(docs.dtypes)["doc_id"]
     match = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("containment", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [find(t.as_py(), indexes, contained) for t in batch.column("text")]
+            rows = [find(t.as_py(), indexes, known, contained) for t in batch.column("text")]
             names = [sorted({m[0] for m in r}) for r in rows]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([len(n) for n in names], pa.int64()),
