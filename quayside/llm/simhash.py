@@ -21,8 +21,8 @@ Pivots
 A cell that holds more than `CELL` fingerprints is split into blocks, and every pair of blocks is a
 cell of its own, so no task gets an unbounded cell. Each cell gives only the links of a least-distance
 spanning forest: the classes come out the same, and a dense group gives no square of links. Where
-links are judged again afterwards, a cell also gives the `NEAREST` closest of each member, because a
-link of the forest may fail.
+texts are judged by their shingles afterwards, the forest gives loose groups that no candidate pair
+leaves, and `set_classes` judges all that matters within each.
 Identical fingerprints (or texts) are one node from the start.
 """
 
@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.components import components
+from quayside.llm.set_classes import linked
 from quayside.llm.text import cut, narrow
 
 SEED = 42
@@ -50,7 +51,6 @@ PIVOTS = 16
 CROWD = 0.1
 #: Deviations granted to the fingerprints of texts that are judged by their shingles afterwards.
 DEVIATIONS = 6
-NEAREST = 4
 #: Texts (about) whose shingles are counted for their order, and shingles whose counts are kept. The
 #: order decides how large cells are, never which texts meet.
 ORDERED, COMMON = 10_000, 500_000
@@ -181,24 +181,25 @@ def _common(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _indexed(docs: DataFrame, size: int, similarity: float, bits: int) -> DataFrame:
-    """digest, fp and prefix of every text, of its distinct shingles, each once, as `_jaccard` counts them."""
+    """digest, fp, prefix and weight (number) of every text's distinct shingles, each counted once."""
     spread = docs.sparkSession.sparkContext.broadcast(_common(docs, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, counts = spread.value
         for batch in batches:
-            prints, firsts = [], []
+            prints, firsts, weights = [], [], []
             for t in batch.column("text"):
                 own = np.unique(shingle_hashes(t.as_py(), size))
+                weights.append(len(own))
                 prints.append(fingerprint(own, bits // 64))
                 firsts.append(prefix(own, common, counts, similarity).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), pa.array(prints, pa.binary()), pa.array(firsts, pa.list_(pa.int64()))],
-                names=["digest", "fp", "prefix"])
+                [batch.column("digest"), pa.array(prints, pa.binary()), pa.array(firsts, pa.list_(pa.int64())),
+                 pa.array(weights, pa.int64())], names=["digest", "fp", "prefix", "weight"])
 
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.xxhash64(text).alias("digest"), text.alias("text"))
-    return rows.mapInArrow(run, "digest long, fp binary, prefix array<long>")
+    return rows.mapInArrow(run, "digest long, fp binary, prefix array<long>, weight long")
 
 
 def _dealt(nodes: DataFrame, keys: list[list[int]], bits: int) -> DataFrame:
@@ -267,18 +268,7 @@ def _large(lanes: np.ndarray, table: np.ndarray, distance: int) -> np.ndarray:
     return out
 
 
-def _near(d: np.ndarray, distance: int, nearest: int) -> list[tuple[int, int]]:
-    """A forest of one cell and each member's `nearest` closest within `distance`."""
-    found = _forest(d, distance)
-    if nearest:
-        k = min(nearest, len(d) - 1)
-        to = np.argpartition(d, k - 1, axis=1)[:, :k]
-        i, at = np.nonzero(np.take_along_axis(d, to, 1) <= distance)
-        found += zip(i.tolist(), to[i, at].tolist())
-    return list({(min(x), max(x)) for x in found})
-
-
-def _linked(bits: int, distance: int, nearest: int = 0):
+def _linked(bits: int, distance: int):
     """Task function: cells (lists of node and fp) to links a, b."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,7 +286,7 @@ def _linked(bits: int, distance: int, nearest: int = 0):
                 if n > 64:
                     for s in own:
                         d = _large(lanes[s:s + n], pivots[s:s + n], distance)
-                        for i, j in _near(d, distance, nearest):
+                        for i, j in _forest(d, distance):
                             left.append(s + i), right.append(s + j)
                     continue
                 step = max(1, 200_000 // (n * n))
@@ -304,7 +294,7 @@ def _linked(bits: int, distance: int, nearest: int = 0):
                     idx = own[at:at + step, None] + np.arange(n)
                     d = _close(lanes[idx], pivots[idx], distance)
                     for c in np.nonzero((d <= distance).any((1, 2)))[0]:
-                        for i, j in _near(d[c], distance, nearest):
+                        for i, j in _forest(d[c], distance):
                             left.append(idx[c, i]), right.append(idx[c, j])
             a, b = (node.take(pa.array(np.asarray(x, np.int64))) for x in (left, right))
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
@@ -317,7 +307,7 @@ def links(nodes: DataFrame, keys: list[list[int]], bits: int, distance: int, cel
     return _met(_dealt(nodes, keys, bits), bits, distance, cell)
 
 
-def _met(rows: DataFrame, bits: int, distance: int, cell: int = CELL, nearest: int = 0) -> DataFrame:
+def _met(rows: DataFrame, bits: int, distance: int, cell: int = CELL) -> DataFrame:
     """Links (a, b) between nodes in one cell and within `distance`, of rows of cell, node and fp."""
     counts = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     parts = F.ceil(F.col("held") / F.lit(cell)).cast("int")
@@ -330,7 +320,7 @@ def _met(rows: DataFrame, bits: int, distance: int, cell: int = CELL, nearest: i
     cells = placed.groupBy("cell", "i", "j").agg(
         F.collect_list(F.struct("node", "fp")).alias("members")
     ).where(F.size("members") > 1)
-    found = cells.select("members").mapInArrow(_linked(bits, distance, nearest), "a long, b long")
+    found = cells.select("members").mapInArrow(_linked(bits, distance), "a long, b long")
     return cut(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-links")
 
 
@@ -360,57 +350,47 @@ def classes(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
     return prints.join(named, "node").select("doc_id", F.lower(digits).alias("fingerprint"), "component_id")
 
 
-def _jaccard(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = (np.unique(shingle_hashes(v.as_py(), size)) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both / max(1, len(x) + len(y) - both) if len(x) + len(y) else 1.0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(keep, pa.float64())], names=["a", "b", "similarity"])
-
-    return run
-
-
 def groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bits: int = 128) -> DataFrame:
     """Nearly equal texts: digest of a text and the digest `root` that stands for its group.
 
-    Texts meet if they share one of their first shingles, as all of that similarity do, are candidates
+    Texts meet if they share one of their first shingles, as all of that similarity do, and are candidates
     if their fingerprints differ in no more bits than texts of that similarity do (`DEVIATIONS`
-    granted), and are linked if the Jaccard similarity of their shingle sets, computed from the whole
-    texts, reaches `similarity`. Of a cell's candidates a forest and the `NEAREST` of each text are
-    judged. Only texts in links are listed.
+    granted). Texts connected by candidate pairs are a loose group. Within it, texts are linked if the
+    Jaccard similarity of their shingle sets, computed from the whole texts, reaches `similarity`; every
+    pair between texts that are not linked through others is judged. Only texts in links are listed.
     """
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    once = _indexed(docs, size, similarity, bits).groupBy("digest").agg(F.first("fp").alias("fp"), F.first("prefix").alias("prefix"))
+    once = _indexed(docs, size, similarity, bits).groupBy("digest").agg(
+        *[F.first(c).alias(c) for c in ("fp", "prefix", "weight")])
     seen = cut(once, "simhash-texts")
     rows = seen.select(F.explode("prefix").alias("cell"), F.col("digest").alias("node"), "fp")
-    near = _met(rows, bits, similar_distance(bits, similarity), nearest=NEAREST)
-    wanted = cut(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct(), "simhash-wanted")
-    held = cut(texts.withColumn("node", F.xxhash64("text")).join(narrow(wanted), "node", "left_semi").dropDuplicates(["node"]), "simhash-held")
-    sides = near.join(held.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(
-        held.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
-    true = sides.mapInArrow(_jaccard(size), "a long, b long, similarity double").where(F.col("similarity") >= similarity)
-    return components(cut(true.select("a", "b"), "simhash-true")).select(F.col("node").alias("digest"), "root")
+    loose = components(_met(rows, bits, similar_distance(bits, similarity)))
+    members = cut(loose.join(seen.select(F.col("digest").alias("node"), "weight"), "node").select(
+        "node", F.col("root").alias("group"), "weight"), "simhash-members")
+    held = texts.withColumn("node", F.xxhash64("text")).join(narrow(members.select("node")), "node", "left_semi")
+    held = cut(held.dropDuplicates(["node"]), "simhash-held")
+    true = linked(members, held, lambda text: shingle_hashes(text, size), similarity)
+    return components(true).select(F.col("node").alias("digest"), "root")
 
 
 def keep_one(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """`docs`, with all its columns, without all but one document of each group of near-duplicates.
 
-    The document with the smallest id stays (null ids last; of repeated rows, one). Texts that have no
-    words are one group. No rows give no rows.
+    The document with the smallest id stays (null ids last; of repeated rows, one). A null text is an
+    empty one, and texts that have no words are one group. Very long texts are compared whole. No rows
+    give no rows; other columns are carried along, whatever their names.
     """
     digest = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     alike = groups(docs, size, similarity).select(F.col("digest").alias("_own"), "root")
     keys = docs.select(F.col("doc_id").alias("_id"), digest.alias("_digest"))
-    rooted = keys.join(alike, F.col("_digest") == F.col("_own"), "left").select(
-        "_id", "_digest", F.coalesce("root", "_digest").alias("_group"))
-    rows = rooted.groupBy("_id", "_digest", "_group").agg(F.count(F.lit(1)).alias("_n"))
-    stays = rooted.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_digest"))).alias("_stay"))
-    judged = rows.join(stays, "_group").withColumn(
-        "_stays", F.col("_id").eqNullSafe(F.col("_stay")["_id"]) & (F.col("_digest") == F.col("_stay")["_digest"]))
+    rows = keys.groupBy("_id", "_digest").agg(F.count(F.lit(1)).alias("_n"))
+    # Copies are brought down to one row a text before texts are grouped.
+    firsts = rows.groupBy("_digest").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), F.col("_id"))).alias("_first"))
+    rooted = firsts.join(alike, F.col("_digest") == F.col("_own"), "left").withColumn("_group", F.coalesce("root", "_digest"))
+    stays = rooted.groupBy("_group").agg(F.min(F.struct("_first", "_digest")).alias("_stay")).select(
+        F.col("_stay._first._id").alias("_kept_id"), F.col("_stay._digest").alias("_kept_digest"))
+    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
+    judged = rows.join(stays, same, "left").withColumn("_stays", F.col("_kept_digest").isNotNull())
     judged = cut(judged.where("_n > 1 or not _stays").select("_id", "_digest", "_stays"), "simhash-judged")
     hashed = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     here = docs["doc_id"].eqNullSafe(judged["_id"]) & (hashed == judged["_digest"])

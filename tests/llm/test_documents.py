@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from quayside.llm import brown, decontaminate, divergence, langid, licenses, mixing, ranking, simhash
+from quayside.llm import brown, decontaminate, divergence, langid, licenses, mixing, ranking, set_classes, simhash
 from tests.llm.data import AWKWARD, SCHEMA, WORDS, documents, frame, low, prose, words
 
 BENCH = "item_id long, text string"
@@ -212,6 +212,36 @@ def test_licenses_equal_brute_force(spark):
         assert licenses.miss(n, next(c for c in licenses.CLASSES if c >= n)) < 1e-4
 
 
+def test_screened_hits_are_those_of_every_class():
+    rng, indexes = random.Random(8), licenses.index(licenses.ALL)
+    known = licenses.table(indexes)
+    texts = ["", "one", prose(rng, "en", 500), *licenses.TEXTS.values(), prose(rng, "fr", 40) + licenses.HEADERS["MPL-2.0"]]
+    for text in texts:
+        h = licenses.shingles(text)
+        at, classes = licenses.hits(h, known)
+        for k, own in enumerate(indexes):
+            assert at[classes >> k & 1 == 1].tolist() == np.flatnonzero(np.isin(h, own.known)).tolist()
+
+
+def test_licenses_of_all_templates_are_those_that_windows_hold():
+    rng, indexes = random.Random(9), licenses.index(licenses.ALL)
+    known = licenses.table(indexes)
+    for name in licenses.ALL:
+        for own in licenses.ALL[name]:
+            text = f"{prose(rng, 'en', rng.randint(0, 90))} {own} {prose(rng, 'de', rng.randint(0, 90))}"
+            h, held = licenses.shingles(text).tolist(), {}
+            for index in indexes:
+                for start in range(0, len(h), index.length):
+                    here = set(h[start:start + 2 * index.length - licenses.SHINGLE + 1])
+                    for other, shape in zip(index.names, index.sets):
+                        share = len(shape & here) / len(shape)
+                        if share >= licenses.CONTAINED:
+                            held[other] = max(share, held.get(other, 0))
+            got = licenses.find(text, indexes, known, licenses.CONTAINED)
+            assert name in {g[0] for g in got} <= set(held)
+            assert max(g[2] for g in got) == pytest.approx(max(held.values()))
+
+
 def test_licenses_side_by_side_are_all_found(spark):
     rng, rows, want = random.Random(4), [], []
     names = sorted(licenses.TEMPLATES)
@@ -419,3 +449,52 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(41)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def changed(rng, base, n):
+    out = list(base)
+    for i in rng.sample(range(len(out)), n):
+        out[i] = f"new{rng.randint(0, 10**9)}"
+    return " ".join(out)
+
+
+def brute_groups(texts):
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and len(x & sets[j]) >= 0.8 * len(x | sets[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("family,away", [(120, 4), (60, 6), (90, 2)])
+def test_families_of_near_copies_lose_no_link(spark, monkeypatch, family, away):
+    rng = random.Random(family)
+    base = [f"w{rng.randint(0, 10**9)}" for _ in range(300)]
+    texts = [changed(rng, base, away) for _ in range(family)] + [prose(rng, "en", 100) for _ in range(5)]
+    want = brute_groups(texts)
+    rows = frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)], False)
+    assert {r.doc_id for r in simhash.keep_one(rows).collect()} == {i for i, r in enumerate(want) if want.index(r) == i}
+
+
+def test_a_group_larger_than_a_cell_is_judged_whole(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randint(0, 10**9)}" for _ in range(300)]
+    texts = [changed(rng, base, 4) for _ in range(100)] + [changed(rng, base, 9) for _ in range(40)]
+    nodes = [(i, 0, 300) for i in range(len(texts))]
+    members = spark.createDataFrame(nodes, "node long, group long, weight long")
+    held = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    links = set_classes.linked(members, held, lambda t: simhash.shingle_hashes(t, 5), 0.8, sets=16).collect()
+    root = list(range(len(texts)))
+    for a, b in links:
+        root = [root[b] if r == root[a] else r for r in root]
+    want = brute_groups(texts)
+    assert [root.index(r) for r in root] == [want.index(r) for r in want]
+
+
+def test_near_duplicates_of_awkward_rows(spark):
+    assert simhash.keep_one(frame(spark, [])).count() == 0
+    left = simhash.keep_one(frame(spark, AWKWARD)).collect()
+    ids = sorted((r.doc_id for r in left), key=str)
+    assert ids == sorted([1, None, 4, 5, 6, 7, 8], key=str)  # 1, 2, 3 and the null row have no words; 4 is there twice
