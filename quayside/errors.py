@@ -69,9 +69,5 @@ class AppendOnlyError(QuaysideError):
     """An append-only table was asked to hold a second, different set of rows for a version."""
 
 
-class ReplayRefused(QuaysideError):
-    """Replay only ever writes to stores that hold synthetic data."""
-
-
 class ConfigError(QuaysideError):
     """The session lacks a setting that a cluster needs."""

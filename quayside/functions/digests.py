@@ -30,21 +30,49 @@ def fingerprint(
     return hashed.groupBy(*by).agg(rows.alias("rows"), F.sha2(total, 256).alias("digest"))
 
 
-def ordered_digest(df: DataFrame, order: Sequence[str], line: Column, most: int = 10_000) -> DataFrame:
-    """SHA-256 over the lines in `order`, for tables with a fixed small size such as parameters.
+def ordered_digest(df: DataFrame, order: Sequence[str], line: Column) -> DataFrame:
+    """(rows, digest): SHA-256 over the lines in `order`, for tables of a fixed small size such as
+    parameters. The lines meet in one row; `tree_digest` is the ordered digest of tables that grow."""
+    return chunk_digests(df, (), order, line).select("rows", "digest")
 
-    The lines meet in one row, so a table of more than `most` rows is refused before any line is
-    gathered; `fingerprint` is the digest for tables that grow.
-    """
-    held = df.count()
-    if held > most:
-        raise ValueError(f"{held} rows are no table of a fixed small size (at most {most})")
+
+def chunk_digests(df: DataFrame, chunk: Sequence[str], order: Sequence[str], line: Column) -> DataFrame:
+    """`chunk` columns, rows and digest: SHA-256 over each chunk's lines in `order`. A chunk is one whose
+    size its key bounds, as a month of a series; one changed chunk can be hashed again alone."""
     cell = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)], line.alias("line"))
-    small = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.array_sort(F.collect_list(cell)).alias("cells")
-    )
-    text = F.array_join(F.transform("cells", lambda c: c["line"]), "")
-    return small.select("rows", F.sha2(text, 256).alias("digest"))
+    lines = df.groupBy(*chunk).agg(
+        F.count(F.lit(1)).alias("rows"), F.array_sort(F.collect_list(cell)).alias("_cells"))
+    text = F.array_join(F.transform("_cells", lambda c: c["line"]), "")
+    return lines.select(*chunk, "rows", F.sha2(text, 256).alias("digest"))
+
+
+def fold_digests(chunks: DataFrame, levels: Sequence[Sequence[str]]) -> DataFrame:
+    """(rows, digest) of a table from the digests of its chunks.
+
+    `levels` names the key columns from fine to coarse, each a part of those before; the first are the
+    chunks' own. A node of the next level hashes its children in key order, one line each of the
+    child's key columns that it drops, rows and digest, comma-joined; nulls are written as `~`. So a
+    node gathers only its own children.
+    """
+    held = chunks
+    for fine, coarse in zip(levels, [*levels[1:], ()]):
+        own = [c for c in fine if c not in coarse]
+        shown = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in own]
+        line = F.concat(F.concat_ws(",", *shown, F.col("rows").cast("string"), "digest"), F.lit("\n"))
+        child = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(shown)], line.alias("line"))
+        nodes = held.groupBy(*coarse).agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.array_sort(F.collect_list(child)).alias("_children"))
+        text = F.array_join(F.transform("_children", lambda c: c["line"]), "")
+        held = nodes.select(*coarse, "rows", F.sha2(text, 256).alias("digest"))
+    return held
+
+
+def tree_digest(
+    df: DataFrame, levels: Sequence[Sequence[str]], order: Sequence[str], line: Column
+) -> DataFrame:
+    """(rows, digest) of a table of any size, sensitive to the order that its keys give: SHA-256 per chunk
+    (the first of `levels`) over its lines in `order`, then over the digests, level by level."""
+    return fold_digests(chunk_digests(df, levels[0], order, line), levels)
 
 
 def uuid5(namespace: str, name: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 SALTS = 32
+#: Bits of a screen: 512 KB.
+SCREEN_BITS = 1 << 22
 
 
 def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -51,3 +53,23 @@ def flag(
     hit = per_salt(keys.select(*on, F.lit(True).alias("_hit")))
     joined = salted(rows, spread).join(hit, [*on, "_salt"], "left")
     return joined.withColumn(into, F.col("_hit").isNotNull()).drop("_salt", "_hit")
+
+
+def screened(rows: DataFrame, keys: DataFrame, on: Sequence[str], bits: int = SCREEN_BITS) -> DataFrame:
+    """The rows whose key may be in `keys`; those left out are certainly not.
+
+    The keys set bits of a Bloom filter of fixed size, by bitmap aggregates that combine before the
+    shuffle. The filter is one row, sent to every task, and looked up as an expression, so no row of
+    `rows` is moved. With far more keys than `bits`, all rows pass.
+    """
+    place = F.pmod(F.xxhash64(*on), F.lit(bits).cast("long"))
+    maps = keys.select(place.alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+    # At most bits / 32,768 rows of 4 KB each, whatever the number of keys.
+    whole = maps.agg(F.map_from_entries(F.collect_list(F.struct("_bucket", "_bits"))).alias("_maps"))
+    asked = rows.withColumns({"_place": place, "_one": F.lit(1)}).join(F.broadcast(whole.withColumn("_one", F.lit(1))), "_one")
+    held = F.try_element_at("_maps", F.bitmap_bucket_number("_place"))
+    at = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring(held, F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
+    return asked.filter(F.coalesce(hit, F.lit(False))).select(*rows.columns)

@@ -12,54 +12,105 @@ from quayside.session import shared_folder
 SKETCH_ACCURACY = 10_000
 BRACKET = 4 / SKETCH_ACCURACY
 CHUNK = 100_000
+#: Parts into which a selection cuts a bracket, and passes after which it is taken as it is.
+BINS, PASSES = 1000, 20
 
 
 def exact_median(
-    df: DataFrame, by: Sequence[str], value: str, *, few_groups: bool = False
+    df: DataFrame, by: Sequence[str], value: str, *, few_groups: bool = False,
+    accuracy: int = SKETCH_ACCURACY, bracket: float = BRACKET, keep: int = CHUNK,
 ) -> DataFrame:
     """The exact median and row count per group: columns `by`, `median`, `n`.
 
     Spark's own `median` keeps every distinct value of a group in one task. Here a sketch first
     brackets the middle of each group. One counted pass then keeps single values only inside the
     bracket (0.08 % of the rows) and one total below and one above it, combined before the
-    shuffle. The middle ranks are read from those exact counts, so the result is exact; if a
-    sketch ever missed the middle, the query fails instead of answering wrongly.
+    shuffle. The middle ranks are read from those exact counts. Groups whose middle the sketch
+    missed are bracketed anew by counting (`_selected`) until at most `keep` rows are inside, so the
+    result is exact for any distribution. Groups of null keys are one group, null values are left out.
 
     `few_groups` says that the number of groups is bounded by design, so the brackets can be
     broadcast; otherwise Spark decides from their measured size.
     """
-    low_high = F.percentile_approx(
-        value, [0.5 - BRACKET, 0.5 + BRACKET], F.lit(SKETCH_ACCURACY)
-    )
-    brackets = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), low_high.alias("_q"))
-    v, q = F.col(value), F.col("_q")
-    side = F.when(v < q[0], 0).when(v > q[1], 2).otherwise(1)
+    shared_folder(df.sparkSession)  # names the checkpoint folder where nothing has yet
+    rows = df.select(*by, F.col(value).alias("_v")).filter("_v is not null")
+    low_high = F.percentile_approx("_v", [0.5 - bracket, 0.5 + bracket], F.lit(accuracy))
+    brackets = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), low_high.alias("_q")).select(
+        *by, "n", F.col("_q")[0].alias("_low"), F.col("_q")[1].alias("_high"))
+    found = _middles(rows, by, brackets, few_groups).checkpoint()
+    whole = F.col("_lower").isNotNull() & F.col("_upper").isNotNull()
+    missed = found.filter(~whole).select(*by, "n")
+    if not missed.isEmpty():
+        again = _middles(rows, by, _selected(rows, by, missed, keep), few_groups)
+        found = found.filter(whole).unionByName(again)
+    return found.select(*by, ((F.col("_lower") + F.col("_upper")) / 2).alias("median"), "n")
+
+
+def _with(rows: DataFrame, groups: DataFrame, by: Sequence[str], few_groups: bool = False) -> DataFrame:
+    """Rows with the columns of their group; null keys meet each other."""
+    named = groups.select(*[F.col(c).alias(f"_by_{c}") for c in by], *[c for c in groups.columns if c not in by])
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    joined = rows.join(F.broadcast(named) if few_groups else named, same or F.lit(True))
+    return joined.drop(*[f"_by_{c}" for c in by])
+
+
+def _ranks() -> tuple[Column, Column]:
+    """A group of n rows has its middle at ranks (n+1) div 2 and n div 2 + 1, the same one if odd."""
+    return F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+
+
+def _middles(rows: DataFrame, by: Sequence[str], brackets: DataFrame, few_groups: bool) -> DataFrame:
+    """`by`, n and the values at both middle ranks, null where a rank is outside the bracket."""
+    v = F.col("_v")
+    side = F.when(v < F.col("_low"), 0).when(v > F.col("_high"), 2).otherwise(1)
     counted = (
-        df.select(*by, value)
-        .join(F.broadcast(brackets) if few_groups else brackets, list(by))
+        _with(rows, brackets, by, few_groups)
         .withColumn("_side", side)
         .withColumn("_value", F.when(F.col("_side") == 1, v))
         .groupBy(*by, "_side", "_value")
-        .agg(F.count(F.lit(1)).alias("_count"), F.first("_n").alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_count"), F.first("n").alias("n"))
     )
     upto = Window.partitionBy(*by).orderBy("_side", "_value")
     ranked = counted.withColumn("_upto", F.sum("_count").over(upto))
-    # A group of n rows has its middle at ranks (n+1) div 2 and n div 2 + 1, the same one if odd.
-    lower_rank, upper_rank = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
     start = F.col("_upto") - F.col("_count")
     covers = lambda rank: (start < rank) & (F.col("_upto") >= rank)
-    picked = ranked.groupBy(*by).agg(
-        F.max(F.when(covers(lower_rank), F.col("_value"))).alias("_lower"),
-        F.max(F.when(covers(upper_rank), F.col("_value"))).alias("_upper"),
-        F.first("_n").alias("n"),
-    )
-    missed = F.col("_lower").isNull() | F.col("_upper").isNull()
-    median = F.when(missed, F.raise_error(F.lit("the sketch did not bracket a median")))
-    return picked.select(
-        *by, median.otherwise((F.col("_lower") + F.col("_upper")) / 2).alias("median"), "n"
+    lower, upper = _ranks()
+    return ranked.groupBy(*by).agg(
+        F.max(F.when(covers(lower), F.col("_value"))).alias("_lower"),
+        F.max(F.when(covers(upper), F.col("_value"))).alias("_upper"),
+        F.first("n").alias("n"),
     )
 
 
+def _selected(rows: DataFrame, by: Sequence[str], groups: DataFrame, keep: int) -> DataFrame:
+    """Brackets (`by`, n, _low, _high) that hold both middle ranks of `groups` (`by`, n) for certain.
+
+    Each pass cuts a group's bracket into `BINS` equal parts, counts them, and goes on with the parts that
+    hold the ranks, until at most `keep` rows or a single value are inside. Whatever the values, a
+    pass leaves a group one row per part.
+    """
+    edges = _with(rows, groups, by).groupBy(*by).agg(
+        F.first("n").alias("n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+        F.lit(0).cast("bigint").alias("_below"), F.count(F.lit(1)).alias("_inside")).checkpoint()
+    lower, upper = _ranks()
+    for _ in range(PASSES):
+        if edges.filter((F.col("_inside") > keep) & (F.col("_low") < F.col("_high"))).isEmpty():
+            break
+        inside = _with(rows, edges, by).filter((F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high")))
+        width = (F.col("_high").cast("double") - F.col("_low").cast("double")) / BINS
+        place = F.when(width > 0, F.floor((F.col("_v").cast("double") - F.col("_low").cast("double")) / width)).otherwise(0)
+        bins = inside.groupBy(*by, F.least(place, F.lit(BINS - 1)).alias("_bin")).agg(
+            F.count(F.lit(1)).alias("_count"), F.min("_v").alias("_least"), F.max("_v").alias("_most"),
+            F.first("n").alias("n"), F.first("_below").alias("_below"))
+        upto = Window.partitionBy(*by).orderBy("_bin")
+        ranked = bins.withColumn("_upto", F.col("_below") + F.sum("_count").over(upto))
+        held = (F.col("_upto") >= lower) & (F.col("_upto") - F.col("_count") < upper)
+        edges = ranked.filter(held).groupBy(*by).agg(
+            F.first("n").alias("n"), F.min("_least").alias("_low"), F.max("_most").alias("_high"),
+            F.min(F.col("_upto") - F.col("_count")).alias("_below"), F.sum("_count").alias("_inside")).checkpoint()
+    return edges.select(*by, "n", "_low", "_high")
+
+
 def carried_last(
     df: DataFrame,
     keys: Sequence[str],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import iso_date, iso_week_date
-from quayside.functions.joins import flag, lookup
+from quayside.functions.joins import flag, lookup, screened
 from quayside.functions.text import quoted, shown
 from quayside.schemas import OBSERVATION_KEY, REJECTED, SILVER, conform
 
@@ -103,7 +103,8 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Equal duplicates of a key collapse to the first in page order. A key with different prices is
     a conflict, and all its rows are rejected. Duplicates combine before the shuffle, and the
-    rejected copies of one key are spread over many tasks, so a key that fills a batch is fine.
+    rejected copies of one key are spread over many tasks, so a key that fills a batch is fine. Rows
+    refused for themselves are never moved.
     """
     accepted = parsed.filter("reason is null")
     place = F.struct("request_id", "page_no", "row_no")
@@ -114,15 +115,14 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     silver = per_key.filter("_low = _high").select(*OBSERVATION_KEY, "_first.*")
     conflicts = per_key.filter("_low <> _high").select(*OBSERVATION_KEY)
+    refused = parsed.filter("reason is not null").select("source", "raw_artifact_key", "row_json", "reason")
+    # Nearly all accepted rows are told apart from conflicting ones where they are; only suspects are moved.
+    suspects = screened(accepted, conflicts, OBSERVATION_KEY)
     spread = ["raw_artifact_key", "row_no"]
-    marked = flag(parsed, conflicts, OBSERVATION_KEY, spread, "_conflict")
-    as_row = F.to_json(F.struct(*sorted(SILVER.names)))
-    rejected = marked.filter("reason is not null or _conflict").select(
-        "source", "raw_artifact_key",
-        F.when(F.col("reason").isNull(), as_row).otherwise(F.col("row_json")).alias("row_json"),
-        F.coalesce("reason", F.lit(CONFLICT)).alias("reason"),
-    )
-    return conform(silver, SILVER), conform(rejected, REJECTED)
+    clashing = flag(suspects, conflicts, OBSERVATION_KEY, spread, "_conflict").filter("_conflict").select(
+        "source", "raw_artifact_key", F.to_json(F.struct(*sorted(SILVER.names))).alias("row_json"),
+        F.lit(CONFLICT).alias("reason"))
+    return conform(silver, SILVER), conform(refused.unionByName(clashing), REJECTED)
 
 
 def parse_observations(

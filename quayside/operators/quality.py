@@ -4,15 +4,35 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import business_days_after
-from quayside.functions.joins import lookup
+from quayside.functions.joins import lookup, per_salt, salted
 
 # When a series counts as incomplete, and when a warning is due.
 INCOMPLETE_MIN_DAYS, INCOMPLETE_SHARE = 3, 0.10
 STALE_BUSINESS_DAYS = 5
+#: Tasks over which the requests of one series and month are dealt; a month of a series is one number.
+MONTH_SALTS = 8
+
+
+def _days(column: Column | str) -> Column:
+    """The day of a date as one bit of its month."""
+    return F.shiftleft(F.lit(1).cast("long"), F.dayofmonth(column) - 1)
+
+
+def _days_upto(day: Column, month: Column) -> Column:
+    """All days of a month (numbered year * 12 + month) up to a date, as bits."""
+    own = _month(day)
+    upto = F.shiftleft(F.lit(1).cast("long"), F.dayofmonth(day)) - 1
+    nothing = F.lit(0).cast("long")
+    return F.when(month < own, F.lit((1 << 31) - 1).cast("long")).when(month == own, upto).otherwise(nothing)
+
+
+def _month(day: Column | str) -> Column:
+    # Never null, so no null check on it is pushed down into the parsing of dates.
+    return F.coalesce(F.year(day) * 12 + F.month(day), F.lit(0))
 
 
 def completeness(
@@ -21,62 +41,51 @@ def completeness(
     """Every requested series with its evidence, judged within its request.
 
     Evidence is the dates, inside the series' active period, on which another series of the
-    request has data. On a date with two or more series every one of them has evidence; on a date
-    with one series all but that one have. So evidence comes from counts per date, and no pairs
-    of series are formed. A date list never holds more than the days of the request's window.
+    request has data. The days of a month are the bits of one number: a series' month is the OR of
+    its days, combined before the shuffle, and evidence is counted from the bits that two series or
+    another series have. Requests meet months, not dates, so no date lists and no pairs of series
+    are formed, and requests that ask for the same month are spread over many tasks.
 
     `by` names tenant columns (such as `source`) when many stores are judged at once.
     """
+    key = [*by, "request_id"]
     until = F.least("end", F.coalesce("discontinued", "end"))
-    wanted = (
-        requests.filter(F.size("series_ids") >= 2)
-        .withColumn("series_id", F.explode("series_ids"))
-    )
+    wanted = requests.filter(F.size("series_ids") >= 2).withColumn("series_id", F.explode(F.array_distinct("series_ids")))
     ends = catalog.select("series_id", "discontinued")
-    wanted = lookup(wanted, ends, ["series_id"], [*by, "request_id"]).withColumn("until", until)
-    key = [*by, "request_id"]
-    in_window = F.col("observation_date").between(F.col("start"), F.col("end"))
-    # Requests and dates meet month by month, so a series asked for in many windows is spread out
-    # and only windows that reach a date's month are looked at.
-    # The number is never null, so no null check on it is pushed down into the parsing of dates.
-    month = lambda day: F.coalesce(F.year(day) * 12 + F.month(day), F.lit(0))
-    months = F.sequence(month("start"), month("end"))
-    own = (
-        silver.select(*by, "series_id", "observation_date",
-                      month("observation_date").alias("_month"))
-        .join(wanted.filter("start <= end").withColumn("_month", F.explode(months)),
-              [*by, "series_id", "_month"])
-        .filter(in_window)
-        .select(*key, "series_id", "until", "observation_date")
-        .distinct()
-    )
-    per_date = own.groupBy(*key, "observation_date").agg(
-        F.count(F.lit(1)).alias("present"), F.min("series_id").alias("a_series")
-    )
-    dates = per_date.groupBy(*key).agg(F.sort_array(F.collect_set("observation_date")).alias("days"))
-    shared = F.col("present") >= 2
-    active = F.col("observation_date") <= F.col("until")
-    own_counts = (
-        own.join(per_date, [*key, "observation_date"])
-        .groupBy(*key, "series_id")
-        .agg(
-            F.count(F.lit(1)).alias("own_days"),
-            F.count_if(active & shared).alias("own_shared"),
-            F.count_if(active & ~shared).alias("own_alone"),
-        )
-    )
-    judged = wanted.join(dates, key, "left").join(own_counts, [*key, "series_id"], "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    active_days = F.size(F.filter(F.coalesce("days", F.array()), lambda d: d <= F.col("until")))
-    return judged.select(
-        *key, "series_id",
-        (active_days - zero(F.col("own_alone"))).alias("evidence"),
-        zero(F.col("own_shared")).alias("_shared"),
-        zero(F.col("own_days")).alias("own_days"),
-    ).select(
-        *key, "series_id", "own_days", "evidence",
-        (F.col("evidence") - F.col("_shared")).alias("missing"),
-    )
+    wanted = lookup(wanted, ends, ["series_id"], key).withColumn("until", until)
+    held = silver.groupBy(*by, "series_id", _month("observation_date").alias("_month")).agg(
+        F.bit_or(_days("observation_date")).alias("_held"))
+    # A request's series and months; a month's window are its days from `start` to `end`.
+    month = F.col("_month")
+    months = wanted.filter("start <= end").select(
+        *key, "series_id", "start", "end", "until", F.explode(F.sequence(_month("start"), _month("end"))).alias("_month"))
+    window = _days_upto(F.col("end"), month).bitwiseAND(F.bitwise_not(_days_upto(F.date_sub("start", 1), month)))
+    asked = salted(months, ["request_id"], MONTH_SALTS).join(
+        per_salt(held, MONTH_SALTS), [*by, "series_id", "_month", "_salt"])
+    found = asked.select(
+        *key, "_month", F.struct(
+            "series_id", F.col("_held").bitwiseAND(window).alias("own")).alias("_series"))
+    # One number per series of the request, which the request itself names.
+    together = found.groupBy(*key, "_month").agg(F.collect_list("_series").alias("_all"))
+    masks = F.transform("_all", lambda s: s["own"])
+    nothing = F.lit(0).cast("long")
+    seen = F.aggregate(
+        masks, F.struct(nothing.alias("once"), nothing.alias("twice")),
+        lambda acc, own: F.struct(
+            acc["once"].bitwiseOR(own).alias("once"),
+            acc["twice"].bitwiseOR(acc["once"].bitwiseAND(own)).alias("twice")))
+    shared = together.select(*key, "_month", seen.alias("_seen"), "_all")
+    mine = F.get(F.filter("_all", lambda s: s["series_id"] == F.col("series_id")), F.lit(0))
+    own = F.coalesce(mine["own"], nothing)
+    days = months.join(shared, [*key, "_month"]).withColumn("own", own)
+    others = F.col("_seen.twice").bitwiseOR(F.col("_seen.once").bitwiseAND(F.bitwise_not("own")))
+    evidence = others.bitwiseAND(_days_upto(F.col("until"), month))
+    counted = days.groupBy(*key, "series_id").agg(
+        F.sum(F.bit_count("own")).alias("own_days"), F.sum(F.bit_count(evidence)).alias("evidence"),
+        F.sum(F.bit_count(evidence.bitwiseAND(F.bitwise_not("own")))).alias("missing"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    return wanted.select(*key, "series_id").join(counted, [*key, "series_id"], "left").select(
+        *key, "series_id", zero("own_days"), zero("evidence"), zero("missing"))
 
 
 def completeness_issues(judged: DataFrame) -> DataFrame:

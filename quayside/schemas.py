@@ -49,6 +49,11 @@ MONITORED = _schema(
     ("dataset_version", _L), ("curve_id", _S), ("position", _S), ("as_of_date", _D),
     ("price", CURVE_PRICE), ("status", _S),
 )
+#: A value that rose over the last priced one of its position.
+STEP = _schema(
+    ("curve_id", _S), ("position", _S), ("dataset_version", _L), ("as_of", _D), ("price", CURVE_PRICE),
+    ("previous_price", CURVE_PRICE), ("previous_version", _L),
+)
 DATASET_VERSION = _schema(
     ("dataset_version", _L), ("logical_input_id", _S), ("manifest_sha256", _S), ("source", _S),
     ("created_at", _TS), ("imported_at", _TS), ("observations", _L), ("revisions", _L),

@@ -15,6 +15,7 @@ from quayside.functions.text import redact
 from quayside.schemas import PAGE, conform
 
 DATA, TOTAL = "$.response.data", "$.response.total"
+INDEX = "request_id string, page_no int, staged_sha256 string"
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -59,36 +60,60 @@ def land_pages(pages: DataFrame, path: str) -> None:
     conform(pages, PAGE).write.mode("errorifexists").json(path)
 
 
+def add_pages(pages: DataFrame, folder: str) -> None:
+    """Land some of a stage's pages; a request may arrive in any number of files and at any time."""
+    conform(pages, PAGE).write.mode("append").json(f"{folder}/pages")
+
+
+def seal_stage(index: DataFrame, folder: str, requests: DataFrame) -> None:
+    """Name the pages a stage consists of (request_id, page_no, sha256). The index is written last: it is
+    what makes the stage complete."""
+    requests.write.mode("errorifexists").json(f"{folder}/requests")
+    named = index.select("request_id", "page_no", F.col("sha256").alias("staged_sha256"))
+    named.write.mode("errorifexists").json(f"{folder}/index")
+
+
 def stage_pages(pages: DataFrame, folder: str, requests: DataFrame) -> None:
-    """Stage a run: pages first, then the index that marks the stage complete."""
+    """Stage a run at once: pages first, then the index that marks the stage complete."""
     land_pages(pages, f"{folder}/pages")
-    requests.write.mode("errorifexists").json(f"{folder}/requests")
-    index = pages.select("request_id", "page_no", F.col("sha256").alias("staged_sha256"))
-    index.write.mode("errorifexists").json(f"{folder}/index")
+    seal_stage(pages, folder, requests)
 
 
 def read_staged(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Replay exactly the pages a stage wrote: (pages, requests).
+    """Replay exactly the pages a stage's index names: (pages, requests).
 
-    Refuses a stage without its index, and any page that is missing or whose bytes do not hash to
-    what was staged.
+    Refuses a stage without its index, and one of whose named pages any is missing or has other
+    bytes than were staged. Pages that the index does not name are not part of the stage.
     """
     from quayside.plans.files import exists
     from quayside.schemas import REQUEST
 
     if not exists(spark, f"{folder}/index/_SUCCESS"):
-        raise StagingError(f"{folder}/index is missing: the staging step did not complete")
-    index = spark.read.schema("request_id string, page_no int, staged_sha256 string").json(
-        f"{folder}/index"
-    )
-    pages = read_pages(spark, f"{folder}/pages")
-    wrong = staged_differences(pages, index).limit(1).collect()
-    if wrong:
-        where = f"{wrong[0]['request_id']}/page {wrong[0]['page_no']}"
-        raise StagingError(f"{where} does not match its staged hash")
+        raise StagingError(f"{folder} has no finished index, so its pages may not all be there")
+    index = spark.read.schema(INDEX).json(f"{folder}/index")
+    landed = read_pages(spark, f"{folder}/pages").withColumn("_sha256", F.sha2("body", 256))
+    key = ["request_id", "page_no"]
+    pages = landed.join(index, key).filter("_sha256 = staged_sha256")
+    pages = conform(pages.dropDuplicates([*key, "_sha256"]), PAGE)
+    lost = index.join(pages.select(*key), key, "left_anti").limit(1).collect()
+    if lost:
+        raise StagingError(f"page {lost[0]['page_no']} of {lost[0]['request_id']} is missing or was changed after staging")
     return pages, spark.read.schema(REQUEST).json(f"{folder}/requests")
 
 
+def announce_stage(spark: SparkSession, root: str, name: str) -> bool:
+    """Tell streams that the stage `root`/stages/`name` is sealed; False if they were told before."""
+    from quayside.plans.files import create_json
+
+    return create_json(spark, f"{root}/sealed/{name}.json", {"stage": name})
+
+
+def stream_stages(spark: SparkSession, root: str, stages_per_batch: int = 1) -> DataFrame:
+    """The sealed stages below `root` as they are announced. The folder `sealed` must exist."""
+    reader = spark.readStream.schema("stage string").option("maxFilesPerTrigger", stages_per_batch)
+    return reader.option("multiLine", True).json(f"{root}/sealed")
+
+
 def staged_differences(pages: DataFrame, index: DataFrame) -> DataFrame:
     """Pages whose actual body hash differs from the index, or that only one side has."""
     actual = pages.select("request_id", "page_no", F.sha2("body", 256).alias("actual_sha256"))

@@ -1,52 +1,146 @@
-"""Upward crossings over a stream of monitored values."""
+"""Upward crossings over a stream of monitored values, with a few rows of state per curve position.
+
+Values name the version of their position that they follow, so the stream itself tells what is still
+missing. A value waits in its position's state until the one it follows has been judged, and is then
+released together with all that wait behind it; late versions therefore change nothing in the result.
+What leaves the state are steps (a value that rose over the last priced one), which each micro-batch
+joins with the rules of that moment. Alerts are appended and never taken back, so they outlive
+their rule.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from datetime import date
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from quayside.operators.alerts import crossings
-from quayside.schemas import MONITORED
+from quayside.operators.alerts import crossed_rules
+from quayside.schemas import MONITORED, STEP
 
 KEY = ["curve_id", "position"]
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: What the first value of a position follows.
+START = -1
+
+
+def with_follows(values: DataFrame) -> DataFrame:
+    """Values (MONITORED) with `follows`, the version before it of the same position, null for its first.
+    A publisher knows it when it writes a version; this derives it from a whole history."""
+    before = Window.partitionBy(*KEY).orderBy("dataset_version")
+    return values.withColumn("follows", F.lag("dataset_version").over(before))
 
 
 def stream_monitored(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
-    """The append-only monitored values of all versions as a stream."""
-    reader = spark.readStream.schema(MONITORED).option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    """The append-only monitored values of all versions as a stream, with `follows`."""
+    schema = T.StructType([*MONITORED.fields, T.StructField("follows", T.LongType())])
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+class Sequencer(StatefulProcessor):
+    """State of one curve position: the last version released, the last price before it, and the values
+    that wait, by the version they follow. `patience_ms` bounds the wait: when it is over the earliest
+    waiting value is released although what it follows never came."""
+
+    def __init__(self, patience_ms: int | None):
+        self.patience_ms = patience_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.place = handle.getValueState("place", "version long, priced long, price string")
+        self.waiting = handle.getMapState("waiting", "follows long", "version long, as_of string, price string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        landed = {}
+        for part in rows:
+            for follows, version, as_of, price in zip(part["follows"], part["dataset_version"], part["as_of_date"], part["price"]):
+                price = None if price is None or pd.isna(price) else str(price)
+                landed[START if pd.isna(follows) else int(follows)] = (int(version), None if as_of is None else str(as_of), price)
+        yield from self._release(key, landed, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        waiting = {k[0]: v for k, v in self.waiting.iterator()}
+        if waiting:
+            last = self.place.get() if self.place.exists() else (START, None, None)
+            self.place.update((min(waiting), last[1], last[2]))
+        yield from self._release(key, {}, timerValues)
+
+    def _release(self, key, landed: dict, timerValues) -> Iterator[pd.DataFrame]:
+        version, priced, price = self.place.get() if self.place.exists() else (START, None, None)
+        moved, steps = version, []
+        while True:
+            value = landed.pop(moved, None)
+            if value is None and self.waiting.containsKey((moved,)):
+                value = self.waiting.getValue((moved,))
+                self.waiting.removeKey((moved,))
+            if value is None or value[0] <= moved:
+                break
+            moved, as_of, now = value
+            if now is not None:
+                if price is not None and Decimal(now) > Decimal(price):
+                    steps.append((*key, moved, as_of and date.fromisoformat(as_of), Decimal(now), Decimal(price), priced))
+                priced, price = moved, now
+        if moved != version:
+            self.place.update((moved, priced, price))
+        for follows, value in landed.items():
+            if value[0] > moved:  # what was released before is not judged again
+                self.waiting.updateValue((follows,), value)
+        self._wait(timerValues)
+        if steps:
+            yield pd.DataFrame(steps, columns=STEP.names)
+
+    def _wait(self, timerValues) -> None:
+        if self.patience_ms is None:
+            return
+        held = next(iter(self.waiting.keys()), None) is not None
+        timers = list(self.handle.listTimers())
+        if held and not timers:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience_ms)
+        elif not held:
+            for at in timers:
+                self.handle.deleteTimer(at)
+
+    def close(self) -> None:
+        pass
+
+
+def steps_of(monitored: DataFrame, patience_ms: int | None = None) -> DataFrame:
+    """The rising steps (`schemas.STEP`) of a stream of values, each once, in version order."""
+    return monitored.groupBy(*KEY).transformWithStateInPandas(
+        statefulProcessor=Sequencer(patience_ms), outputStructType=STEP, outputMode="append",
+        timeMode="none" if patience_ms is None else "processingTime")
 
 
 def run_crossings(
-    monitored: DataFrame, landed: Callable[[], DataFrame], rules: Callable[[], DataFrame], out: str,
-    checkpoint: str,
+    monitored: DataFrame, rules: Callable[[], DataFrame], out: str, checkpoint: str,
+    patience_ms: int | None = None,
 ) -> StreamingQuery:
-    """Keep below `out` the crossings of every curve position, judged by the rules at that time.
+    """Append below `out` the crossings of the rules that live when a step is released.
 
-    `monitored` streams the values and `landed` reads all that have landed. Values need not arrive in
-    the order of their versions: a late one can end a crossing that was already found, so each
-    micro-batch judges the positions it touches anew, over all their values and on the JVM. A batch
-    owns its two folders and rewrites them on a retry.
+    `monitored` streams values with `follows`. A batch owns its two folders and rewrites them on a retry,
+    so every crossing is there once, also after a restart from `checkpoint`.
     """
+    monitored.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select(*KEY).distinct()
-        touched.write.mode("overwrite").parquet(f"{out}/touched/batch={batch_id}")
-        judged = batch.sparkSession.read.schema(touched.schema).parquet(f"{out}/touched/batch={batch_id}")
-        history = landed().join(judged, KEY, "left_semi")
-        crossings(history, rules()).write.mode("overwrite").parquet(f"{out}/crossings/batch={batch_id}")
+        # Written first: the state is run through once, however often the steps are read.
+        batch.write.mode("overwrite").parquet(f"{out}/steps/batch={batch_id}")
+        steps = batch.sparkSession.read.schema(STEP).parquet(f"{out}/steps/batch={batch_id}")
+        crossed_rules(steps, rules()).write.mode("overwrite").parquet(f"{out}/crossings/batch={batch_id}")
 
     return (
-        monitored.writeStream.foreachBatch(judge)
+        steps_of(monitored, patience_ms).writeStream.foreachBatch(judge).outputMode("append")
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
 def read_crossings(spark: SparkSession, out: str) -> DataFrame:
-    """The crossings of every position as the last batch that touched it found them."""
-    last = spark.read.parquet(f"{out}/touched").groupBy(*KEY).agg(F.max("batch").alias("batch"))
-    found = spark.read.parquet(f"{out}/crossings").join(last, [*KEY, "batch"])
+    """All crossings found so far."""
+    found = spark.read.parquet(f"{out}/crossings")
     return found.drop("batch").withColumn("as_of", F.col("as_of").cast("date"))

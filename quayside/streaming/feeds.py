@@ -1,48 +1,43 @@
-"""Streams over the store: ingesting landed pages, importing versions, update feeds and replay."""
+"""Streams over the store: ingesting sealed stages, importing versions, and update feeds."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from datetime import UTC, date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.catalog import SPOT_ROUTE, SPOT_SERIES
-from quayside.errors import ReplayRefused
-from quayside.functions.dates import business_days
-from quayside.plans.ingest import RunResult, ShapeInput, run_ingest
-from quayside.plans.serving import Pass, Serving, import_pending, process_events, versions
-from quayside.plans.versions import read_version
-from quayside.schemas import REQUEST
-from quayside.sources.synthetic import synthetic_history, synthetic_pages
-
-SYNTHETIC = "synthetic"
-CLOSE = time(22, tzinfo=UTC)
+from quayside.plans import files
+from quayside.plans.ingest import RunResult, run_ingest
+from quayside.plans.serving import Serving, import_pending, judge_pending
+from quayside.sources.pages import read_staged
+
 COMMIT = "dataset_version bigint, logical_input_id string, manifest_path string, " \
          "manifest_sha256 string"
 
 
 def ingest_stream(
-    pages: DataFrame, store: str, checkpoint: str, requests: Callable[[DataFrame], DataFrame], *,
-    source: str, on_result: Callable[[RunResult], None] = lambda result: None, **options,
+    stages: DataFrame, root: str, store: str, checkpoint: str, *, source: str,
+    on_result: Callable[[RunResult], None] = lambda result: None, **options,
 ) -> StreamingQuery:
-    """Each micro-batch of landed pages is one ingestion run.
+    """Each sealed stage is one ingestion run, in the order in which stages are announced.
 
-    `requests` gives the requests a batch of pages answers. A batch replayed after a crash has the
-    same identity and is a no-op. Late and out-of-order retrievals are ordered per observation by
-    the merge, not by an event-time watermark.
+    `stages` is `sources.pages.stream_stages` over `root`. What the stream reads are announcements, so
+    the pages of a request may land in any number of files, before and between runs: they are read
+    together once the stage's index names them. A stage replayed after a crash has the same identity
+    and is a no-op. Late and out-of-order retrievals are ordered per observation by the merge, not
+    by an event-time watermark.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            spark = batch.sparkSession
-            on_result(run_ingest(spark, store, batch, requests(batch), source=source, **options))
+        spark = batch.sparkSession
+        for row in batch.select("stage").distinct().orderBy("stage").collect():  # stages_per_batch rows
+            pages, requests = read_staged(spark, f"{root}/stages/{row['stage']}")
+            on_result(run_ingest(spark, store, pages, requests, source=source, **options))
 
     return (
-        pages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        stages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
@@ -54,13 +49,13 @@ def stream_versions(spark: SparkSession, store: str) -> DataFrame:
 
 def consume_versions(
     stream: DataFrame, serving: Serving, store: str, checkpoint: str,
-    on_pass: Callable[[Pass], None] = lambda done: None, **options,
+    on_fired: Callable[[int], None] = lambda alerts: None,
 ) -> StreamingQuery:
     """Import newly published versions and judge them, in version order."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         import_pending(serving, store)
-        on_pass(process_events(serving, **options))
+        on_fired(judge_pending(serving))
 
     return (
         stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
@@ -75,17 +70,20 @@ def newest_update(versions_table: DataFrame, last_sent: int | None) -> int | Non
     return None if newest is None or newest == last_sent else newest
 
 
-def update_stream(
-    stream: DataFrame, checkpoint: str, emit: Callable[[int], None], last_sent: int | None = None
-) -> StreamingQuery:
-    """Announce the newest version of each micro-batch once."""
-    sent = {"last": last_sent}
+def update_stream(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Announce below `out` the newest version of each micro-batch, unless one as new was announced.
+
+    What was announced is part of the sink: a batch owns its folder, looks at the folders of the batches
+    before it, and rewrites its own on a retry. A restart from `checkpoint` therefore goes on after
+    the last announcement, and no version is announced twice.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        newest = newest_update(batch, sent["last"])
-        if newest is not None and (sent["last"] is None or newest > sent["last"]):
-            sent["last"] = newest
-            emit(newest)
+        spark = batch.sparkSession
+        earlier = announced(spark, out).filter(F.col("batch") < batch_id)
+        last = earlier.agg(F.max("dataset_version")).first()[0]
+        newest = batch.agg(F.max("dataset_version").alias("dataset_version"))
+        newest.filter(F.col("dataset_version") > F.lit(-1 if last is None else last)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
@@ -93,43 +91,9 @@ def update_stream(
     )
 
 
-@dataclass(frozen=True)
-class Step:
-    day: date
-    status: str
-    imported: list[int]
-    events_done: int
-
-
-def replay(
-    serving: Serving, store: str, start: date, end: date, *, shape: ShapeInput,
-    warmup_days: int = 20, overrides: DataFrame | None = None,
-    on_step: Callable[[Step], None] = lambda step: None,
-) -> list[Step]:
-    """Step through business days of the synthetic source, one published version per day.
-
-    The first step also publishes `warmup_days` of history. Stores or serving tables that hold
-    anything else than synthetic data are refused before anything is written.
-    """
-    spark = serving.spark
-    held = [r["source"] for r in versions(serving).select("source").distinct().limit(2).collect()]
-    base = read_version(spark, store).manifest.get("identity", {}).get("source", SYNTHETIC)
-    if base != SYNTHETIC or set(held) - {SYNTHETIC}:
-        raise ReplayRefused(f"replay only writes to synthetic stores, found {sorted({base, *held})}")
-    days = [r["day"] for r in business_days(spark, start, end).orderBy("day").collect()]
-    steps = []
-    for i, day in enumerate(days):
-        first = day - timedelta(days=warmup_days) if i == 0 else day
-        request = spark.createDataFrame([("replay", sorted(SPOT_SERIES), first, day)], REQUEST)
-        pages = synthetic_pages(
-            synthetic_history(spark, SPOT_SERIES, first, day, overrides), request_id="replay",
-            route=SPOT_ROUTE, retrieved_at=datetime.combine(day, CLOSE),
-        )
-        result = run_ingest(spark, store, pages, request, source=SYNTHETIC, shape=shape)
-        imported = import_pending(serving, store)
-        done = process_events(serving)
-        step = Step(day, result.status,
-                    [n for n, s in imported.items() if s == "imported"], done.done)
-        steps.append(step)
-        on_step(step)
-    return steps
+def announced(spark: SparkSession, out: str) -> DataFrame:
+    """The versions announced below `out`, each with the batch that announced it."""
+    schema = "dataset_version bigint, batch bigint"
+    if not files.names(spark, out):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out)

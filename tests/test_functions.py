@@ -99,6 +99,35 @@ def test_ordered_digest_is_the_hash_of_the_lines(spark):
     assert (got["rows"], got["digest"]) == (3, hashlib.sha256(b"a\nb\nc\n").hexdigest())
 
 
+def test_tree_digest_keeps_order_and_rehashes_only_what_changed(spark):
+    rows = [(s, m, d, f"{s}{m}{d}") for s in ("a", "b", None) for m in (1, 2) for d in (3, 1, 2)]
+    df = spark.createDataFrame(rows, "s string, m int, d int, v string")
+    line, levels = F.concat("v", F.lit("\n")), [["s", "m"], ["s"]]
+    digest = lambda df: tuple(digests.tree_digest(df, levels, ["d"], line).first())
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    month = lambda s, m: sha("".join(f"{s}{m}{d}\n" for d in (1, 2, 3)))
+    series = lambda s: sha("".join(f"{m},3,{month(s, m)}\n" for m in (1, 2)))
+    want = sha("".join(f"{'~' if s is None else s},6,{series(s)}\n" for s in ("a", "b", None)))
+    assert digest(df) == (18, want) == digest(df.repartition(5))
+    assert digest(df.withColumn("v", F.when(F.col("d") == 1, F.lit("x")).otherwise(F.col("v"))))[1] != want
+    chunks = digests.chunk_digests(df, levels[0], ["d"], line)
+    assert tuple(digests.fold_digests(chunks, levels).first()) == (18, want)
+    swapped = df.withColumn("d", F.when(F.col("d") < 3, 3 - F.col("d")).otherwise(3))  # the same lines in another order
+    assert digest(swapped)[1] != want
+    assert digest(df.limit(0)) == (0, sha(""))
+
+
+def test_a_screen_loses_no_key_and_lets_few_others_pass(spark):
+    rows = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"), "id")
+    keys = spark.range(0, 20_000, 500).select(F.concat(F.lit("k"), "id").alias("k"))
+    passed = {r.id for r in joins.screened(rows, keys, ["k"]).collect()}
+    assert set(range(0, 20_000, 500)) <= passed and len(passed) < 60
+    assert joins.screened(rows, keys.limit(0), ["k"]).count() == 0
+    assert joins.screened(rows, rows.select("k"), ["k"], bits=1 << 15).count() == 20_000
+    plan = joins.screened(rows, keys, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+
+
 def test_exact_median_equals_the_builtin_one(spark):
     # group 0 holds most rows, group 1 repeats one value, group 2 has one row, group 3 two
     df = spark.range(60000).select(
@@ -113,6 +142,21 @@ def test_exact_median_equals_the_builtin_one(spark):
         assert got == wanted
 
 
+def test_exact_median_of_hostile_distributions(spark):
+    """A sketch too coarse for its bracket misses the middle; counting finds it in any case."""
+    n = 20_001
+    skewed = F.when(F.col("id") < 9_000, F.col("id") * 1e-9).when(F.col("id") < 12_000, F.exp((F.col("id") - 9_000) / 5)).otherwise(1e300)
+    df = spark.range(n).select(
+        F.explode(F.array(F.struct(F.lit("skewed").alias("g"), skewed.alias("v")),
+                          F.struct(F.lit("even").alias("g"), (F.col("id") * 7919 % n).cast("double").alias("v")),
+                          F.struct(F.lit(None).cast("string").alias("g"), F.when(F.col("id") % 5 > 0, F.col("id") % 3 - 1e15).alias("v")))).alias("x")
+    ).select("x.*")
+    wanted = {r.g: (r.m, r.n) for r in df.groupBy("g").agg(F.median("v").alias("m"), F.count("v").alias("n")).collect()}
+    for options in ({"accuracy": 3, "bracket": 0.0}, {"accuracy": 3, "bracket": 0.0, "keep": 2}, {}):
+        got = {r.g: (r.median, r.n) for r in scans.exact_median(df, ["g"], "v", **options).collect()}
+        assert got == wanted
+
+
 def test_exact_median_does_not_depend_on_partitions(spark):
     df = spark.range(20000).select((F.col("id") % 3).alias("g"), F.sin("id").alias("v"))
     runs = [

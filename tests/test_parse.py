@@ -168,7 +168,7 @@ def test_raw_page_files_are_read_and_redacted(spark, folder):
 
 def test_staged_pages_replay_exactly_or_not_at_all(spark, folder):
     root = folder("stage")
-    with pytest.raises(StagingError, match="did not complete"):
+    with pytest.raises(StagingError, match="no finished index"):
         page_source.read_staged(spark, root)
     staged = pages(spark, JANUARY)
     page_source.stage_pages(staged, root, request(spark, JANUARY))

@@ -74,6 +74,27 @@ def test_evidence_matches_pairwise_brute_force(spark):
             assert got[rid, s] == (len(own), len(others), len(others - own)), (rid, s)
 
 
+def test_windows_that_cut_months_and_series_named_twice(spark):
+    batch = silver(spark, [("RWTC", date(2024, 1, d), "1") for d in (1, 15, 31)] + [("RBRTE", date(2024, 2, d), "1") for d in (1, 29)], AT)
+    asks = [("cut", ["RWTC", "RBRTE", "RWTC"], date(2024, 1, 15), date(2024, 2, 28)),
+            ("none", ["RWTC", "RBRTE"], date(2024, 3, 1), date(2024, 2, 1)), ("one", ["RWTC"], *JANUARY)]
+    got = quality.completeness(batch, spark.createDataFrame(asks, REQUEST), series_catalog(spark))
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("cut", "RBRTE", 1, 2, 2), ("cut", "RWTC", 2, 1, 1), ("none", "RBRTE", 0, 0, 0), ("none", "RWTC", 0, 0, 0)]
+
+
+def test_a_series_asked_for_by_very_many_requests_is_spread(spark):
+    """20,000 requests for one month: no task gets more than a few times the median of the rows."""
+    batch = silver(spark, [(s, date(2024, 1, d), "1") for s in SPOT for d in range(2, 12)], AT)
+    asks = spark.range(20_000).select(
+        F.concat(F.lit("r"), "id").alias("request_id"), F.array(*map(F.lit, SPOT)).alias("series_ids"),
+        F.lit(JANUARY[0]).alias("start"), F.lit(JANUARY[1]).alias("end"))
+    judged = quality.completeness(batch, asks, series_catalog(spark))
+    assert judged.count() == 40_000 and judged.filter("own_days <> 10 or missing <> 0").count() == 0
+    dealt = quality.salted(asks, ["request_id"], quality.MONTH_SALTS).groupBy("_salt").count().collect()
+    assert len(dealt) == quality.MONTH_SALTS and max(r["count"] for r in dealt) < 2 * 20_000 / quality.MONTH_SALTS
+
+
 def test_staleness_warnings_and_report(spark):
     batch = silver(spark, [("RWTC", date(2024, 1, 10), "70"), ("RCLC1", date(2024, 4, 5), "71")], AT)
     asked = spark.createDataFrame(

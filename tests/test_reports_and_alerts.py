@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -106,39 +107,112 @@ def test_batch_crossings_equal_the_version_by_version_machine(spark):
         assert sorted(got) == sorted(fired) and fired
 
 
-def test_stream_crossings_equal_batch_over_several_micro_batches(spark, folder):
+def landed(spark, path, rows):
+    """Values as (version, curve, price, follows), landed as one file more."""
+    full = [(v, c, "C1", date(2024, 1, 1), None if p is None else Decimal(p), "ok", f) for v, c, p, f in rows]
+    spark.createDataFrame(full, MONITORED.simpleString()[7:-1].replace(":", " ") + ", follows bigint").coalesce(1).write.mode("append").parquet(path)
+
+
+def a_rule(rule_id, curve, threshold, baseline=0, deleted=None):
+    return (rule_id, curve, "C1", Decimal(threshold), datetime(2024, 1, 1), deleted, baseline, None, None, None, None)
+
+
+def found(spark, out):
+    return sorted((r["rule_id"], r["dataset_version"], int(r["price"]), int(r["previous_price"]))
+                  for r in stream.read_crossings(spark, out).collect())
+
+
+def test_stream_equals_batch_while_files_land_out_of_order(spark, folder):
     rng = random.Random(12)
-    source, out = folder("values"), folder("crossed")
-    rows = [(v, f"X{i}", "C1", date(2024, 1, 1), None if rng.random() < 0.2 else Decimal(rng.randrange(60, 80)), "ok")
-            for v in range(1, 31) for i in range(5)]
-    for first in (11, 21, 1):  # three files, not in version order
-        part = [r for r in rows if first <= r[0] < first + 10]
-        rng.shuffle(part)
-        spark.createDataFrame(part, MONITORED).coalesce(1).write.mode("append").parquet(source)
-    rules = spark.createDataFrame(
-        [(f"r{i}", f"X{i % 5}", "C1", Decimal(65 + i), datetime(2024, 1, 1), None, i, None, None, None, None)
-         for i in range(8)], RULE)
-    run = stream.run_crossings(
-        stream.stream_monitored(spark, source, 1), lambda: spark.read.schema(MONITORED).parquet(source), lambda: rules,
-        out, folder("cp"))
-    run.awaitTermination()
-    batch = alerts.crossings(spark.createDataFrame(rows, MONITORED), rules)
-    key = lambda df: sorted(r["alert_id"] for r in df.collect())
-    assert key(stream.read_crossings(spark, out)) == key(batch) != []
-
-
-def test_versions_that_land_late_lose_no_crossing(spark, folder):
-    source, out = folder("late"), folder("late_crossed")
-    for part in (((3, 60), (4, 80)), ((1, 65), (2, 72))):
-        rows = [(v, "X", "C1", date(2024, 1, 1), Decimal(p), "ok") for v, p in part]
-        spark.createDataFrame(rows, MONITORED).coalesce(1).write.mode("append").parquet(source)
-    rules = spark.createDataFrame(
-        [("r", "X", "C1", Decimal(70), datetime(2024, 1, 1), None, 0, None, None, None, None)], RULE)
-    stream.run_crossings(
-        stream.stream_monitored(spark, source, 1), lambda: spark.read.schema(MONITORED).parquet(source), lambda: rules,
-        out, folder("cp")).awaitTermination()
-    got = sorted((r["dataset_version"], int(r["price"]), int(r["previous_price"])) for r in stream.read_crossings(spark, out).collect())
-    assert got == [(2, 72, 65), (4, 80, 60)]
+    source, out, checkpoint = folder("values"), folder("crossed"), folder("cp")
+    rows = [(v, f"X{i}", None if rng.random() < 0.2 else rng.randrange(60, 80)) for v in range(1, 31) for i in range(5) if rng.random() < 0.8]
+    last, chained = {}, []
+    for v, c, p in rows:
+        chained.append((v, c, p, last.get(c)))
+        last[c] = v
+    rng.shuffle(chained)
+    rules = spark.createDataFrame([a_rule(f"r{i}", f"X{i % 5}", 65 + i, i) for i in range(8)], RULE)
+    for k in range(4):  # each run sees files that were not there before, in no order of versions
+        for part in (chained[k::8], chained[k + 4::8]):
+            landed(spark, source, part)
+        stream.run_crossings(stream.stream_monitored(spark, source, 1), lambda: rules, out, checkpoint).awaitTermination()
+    plain = spark.createDataFrame(
+        [(v, c, "C1", date(2024, 1, 1), None if p is None else Decimal(p), "ok") for v, c, p in rows], MONITORED)
+    batch = sorted((r["rule_id"], r["dataset_version"], int(r["price"]), int(r["previous_price"])) for r in alerts.crossings(plain, rules).collect())
+    assert found(spark, out) == batch != []
+    assert [r["follows"] for r in stream.with_follows(plain).where("curve_id = 'X0'").orderBy("dataset_version").collect()] == [
+        f for v, c, p, f in sorted(chained) if c == "X0"]
+
+
+def test_versions_that_land_late_are_judged_in_their_order(spark, folder):
+    source, out, checkpoint = folder("late"), folder("late_crossed"), folder("cp")
+    rules = spark.createDataFrame([a_rule("r", "X", 70)], RULE)
+    go = lambda: stream.run_crossings(stream.stream_monitored(spark, source, 1), lambda: rules, out, checkpoint).awaitTermination()
+    landed(spark, source, [(3, "X", 60, 2), (4, "X", 80, 3)])
+    go()
+    assert found(spark, out) == []  # versions 1 and 2 are still missing
+    landed(spark, source, [(1, "X", 65, None), (2, "X", 72, 1), (2, "X", 72, 1)])
+    go()
+    landed(spark, source, [(2, "X", 90, 1), (5, "X", None, 4)])  # a version seen before changes nothing
+    go()
+    assert found(spark, out) == [("r", 2, 72, 65), ("r", 4, 80, 60)]
+
+
+def test_alerts_outlive_their_rule_and_deleted_rules_stay_silent(spark, folder):
+    source, out, checkpoint = folder("gone"), folder("gone_crossed"), folder("cp")
+    live = spark.createDataFrame([a_rule("r", "X", 70)], RULE)
+    gone = spark.createDataFrame([a_rule("r", "X", 70, deleted=datetime(2024, 2, 1))], RULE)
+    landed(spark, source, [(1, "X", 65, None), (2, "X", 72, 1)])
+    stream.run_crossings(stream.stream_monitored(spark, source), lambda: live, out, checkpoint).awaitTermination()
+    landed(spark, source, [(3, "X", 69, 2), (4, "X", 75, 3)])
+    stream.run_crossings(stream.stream_monitored(spark, source), lambda: gone, out, checkpoint).awaitTermination()
+    assert found(spark, out) == [("r", 2, 72, 65)]
+
+
+def test_a_version_that_never_comes_is_waited_for_no_longer_than_asked(spark, folder):
+    source, out, checkpoint = folder("lost"), folder("lost_crossed"), folder("cp")
+    rules = spark.createDataFrame([a_rule("r", "X", 70), a_rule("s", "Y", 70)], RULE)
+    go = lambda: stream.run_crossings(
+        stream.stream_monitored(spark, source), lambda: rules, out, checkpoint, patience_ms=100).awaitTermination()
+    landed(spark, source, [(1, "X", 65, None), (3, "X", 72, 2)])
+    go()
+    assert found(spark, out) == []
+    time.sleep(0.5)
+    landed(spark, source, [(4, "Y", 1, None)])
+    go()
+    assert found(spark, out) == [("r", 3, 72, 65)]
+
+
+def test_steps_look_only_at_the_rules_between_their_prices(spark):
+    """10^5 rules and 10^5 steps on one position: 10^10 pairs, of which a few thousand belong together."""
+    n = 100_000
+    ids = spark.range(n)
+    rules = ids.select(F.col("id").cast("string").alias("rule_id"), F.lit("X").alias("curve_id"), F.lit("C1").alias("position"),
+                       (F.col("id") * 10).cast("decimal(18,4)").alias("threshold"), F.lit(None).cast("timestamp").alias("created_at"),
+                       F.lit(None).cast("timestamp").alias("deleted_at"), F.lit(0).cast("bigint").alias("baseline_version"))
+    low = (F.col("id") * 7919 % (n * 10) + F.lit(0.5)).cast("decimal(18,4)")
+    steps = ids.select(F.lit("X").alias("curve_id"), F.lit("C1").alias("position"), (F.col("id") + 2).alias("dataset_version"),
+                       F.lit(None).cast("date").alias("as_of"), (low + F.lit(1)).cast("decimal(18,4)").alias("price"),
+                       low.alias("previous_price"), (F.col("id") + 1).alias("previous_version"))
+    got = alerts.crossed_rules(steps, rules)
+    want = sum(1 for i in range(n) if (i * 7919 % (n * 10)) % 10 == 9)
+    assert got.count() == want
+    assert got.where("threshold < previous_price or threshold >= price").count() == 0
+
+
+def test_range_join_equals_brute_force_with_ties_and_empty_sides(spark):
+    from quayside.functions.ranges import points_in_ranges
+
+    rng = random.Random(4)
+    pts = [("a" if rng.random() < 0.8 else "b", i, rng.randrange(20)) for i in range(60)] + [(None, 99, 3), ("a", 98, None)]
+    rgs = [(rng.choice("abc"), i, rng.randrange(20), rng.randrange(22)) for i in range(60)] + [("a", 97, None, 5)]
+    p = spark.createDataFrame(pts, "k string, point int, v int")
+    r = spark.createDataFrame(rgs, "k string, id int, lo int, hi int")
+    got = points_in_ranges(p, r, ["k"], "v", "lo", "hi", ["id"])
+    want = sorted((k, i, x) for k, i, lo, hi in rgs for j, x, v in pts if k == j and None not in (k, lo, hi, v) and lo <= v < hi)
+    assert sorted((x["k"], x["id"], x["point"]) for x in got.collect()) == want != []
+    assert points_in_ranges(p.limit(0), r, ["k"], "v", "lo", "hi", ["id"]).count() == 0
+    assert points_in_ranges(p, r.limit(0), ["k"], "v", "lo", "hi", ["id"]).count() == 0
 
 
 def test_new_rules_start_from_the_current_version(spark):

@@ -76,6 +76,20 @@ def test_known_ratios_are_recovered(spark):
     assert {r["month"]: r["n_obs"] for r in params}[5] == 21
 
 
+def test_a_shape_reproduces_and_its_inputs_have_a_digest(spark):
+    rows = crafted({}) + [("RBRTE", date(2015, 3, 2), "1.00")]
+    seen = observed(spark, rows)
+    found = shape.estimate_shape(seen, WINDOW)
+    assert shape.verify_shape(found.params, seen, window=WINDOW).count() == 0
+    moved = [(s, d, "51.00" if (s, d) == ("RCLC2", date(2015, 6, 1)) else p) for s, d, p in rows]
+    other = shape.estimate_shape(observed(spark, moved), WINDOW)
+    wrong = shape.verify_shape(found.params, observed(spark, moved), window=WINDOW).collect()
+    assert {(r["position"], r["month"]) for r in wrong} <= {("C2", 6)}
+    assert len(found.inputs_sha256) == 64 and other.inputs_sha256 != found.inputs_sha256
+    unread = observed(spark, [*rows, ("RBRTE", date(2015, 3, 3), "2.00"), ("RWTC", date(2016, 1, 4), "3.00")])
+    assert shape.inputs_digest(shape.used_observations(unread, WINDOW)).first()["digest"] == found.inputs_sha256
+
+
 def test_thin_and_missing_groups_are_refused(spark):
     with pytest.raises(ShapeEstimationError, match=r"under 15 observations for C1 in month 7 \(14\), C2"):
         shape.estimate_shape(observed(spark, crafted({7: 14})), WINDOW)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from quayside.catalog import FUTURES
 from quayside.functions import dates, numeric
 from quayside.functions.digests import fingerprint, ordered_digest
+from quayside.functions.scans import dense_sequence
 from quayside.operators import alerts, checks, curves, merge, parse, quality, reports, shape
-from quayside.plans import exports, shape_runs
+from quayside.plans import exports, named_queries, shape_runs
 from quayside.plans import serving as serving_plan
 from quayside.plans import warehouse as warehouse_plan
 from quayside.plans.versions import read_table, read_version, version_index
@@ -83,6 +85,22 @@ def compare_shapes(spark, sf):
     return both.select("position", "month", F.split("problem", " ")[0].alias("problem"))
 
 
+@query
+def verified_shape(spark, sf):
+    """Parameters of which one month was moved, against a new estimate from the observations."""
+    held = shape.shape_stats(_pairs(spark, sf))
+    moved = F.when(F.col("month") == 7, F.col("s") + F.lit("0.0000000100").cast("decimal(20,10)")).otherwise(F.col("s"))
+    stored = held.withColumn("s", moved.cast("decimal(20,10)"))
+    found = shape.verify_shape(stored, t.observations(spark, sf), window=None, by=t.BY)
+    return found.select("position", "month", F.split("problem", " ")[0].alias("problem"))
+
+
+@query
+def shape_inputs_digest(spark, sf):
+    """The ordered hash tree over the observations that the shape is estimated from."""
+    return shape.inputs_digest(shape.used_observations(t.observations(spark, sf), None), t.BY)
+
+
 # --- curves and their reports --------------------------------------------------------------------
 
 
@@ -438,6 +456,20 @@ def dead_events(spark, sf):
     return reports.dead_events(t.outbox(spark, sf))
 
 
+@query
+def health_page(spark, sf):
+    """The health read as rows: newest version, counts per status, newest problems and dead events."""
+    tables = reports.health(t.versions(spark, sf), t.attempts(spark, sf), t.outbox(spark, sf))
+    shown = {
+        "versions": ("dataset_version", "source"), "attempt_counts": ("status", "records"),
+        "problem_attempts": ("attempt_id", "status"), "outbox_counts": ("status", "records"),
+        "dead_events": ("event_id", "last_error"),
+    }
+    parts = [tables[name].select(F.lit(name).alias("part"), *[F.col(c).cast("string").alias(k) for k, c in zip(("item", "value"), own)])
+             for name, own in shown.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def current_version(spark, sf):
     return reports.current_version(t.versions(spark, sf))
@@ -469,7 +501,7 @@ def unseen_attempts(spark, sf):
     """Attempts of later orders that an earlier sync has not stored yet."""
     every = t.attempts(spark, sf)
     stored = every.filter("status <> 'failed'").select("attempt_id")
-    return every.join(stored, "attempt_id", "left_anti").select("attempt_id", "status")
+    return serving_plan.unseen_attempts(every, stored).select("attempt_id", "status")
 
 
 # --- expressions ---------------------------------------------------------------------------------
@@ -616,6 +648,38 @@ def warehouse_spread_by_position(spark, sf):
     return reports.spread_by_position(points)
 
 
+def _named(spark, sf, name, **values):
+    """A named query with the place of each row in its output, which the twin numbers by itself."""
+    rows = named_queries.run_named(spark, stores.warehouse(spark, sf), name, **values)
+    return dense_sequence(rows, named_queries.NAMED[name].order, "place")
+
+
+@query
+def named_latest_curve(spark, sf):
+    return _named(spark, sf, "latest_curve_per_series")
+
+
+@query
+def named_spread(spark, sf):
+    return _named(spark, sf, "wti_brent_spread_by_tenor")
+
+
+@query
+def named_contango(spark, sf):
+    return _named(spark, sf, "contango_backwardation_days", far="C2")
+
+
+@query
+def named_revisions(spark, sf):
+    return _named(spark, sf, "revisions_per_month")
+
+
+@query
+def named_percentile(spark, sf):
+    ranked = _named(spark, sf, "rolling_percentile", curve="BRENT")
+    return ranked.withColumn("month_percent_rank", F.round("month_percent_rank", 9))
+
+
 @query
 def exported_history(spark, sf):
     """A labelled CSV export of one curve position, as numbered lines read back from disk."""
@@ -640,15 +704,13 @@ def streamed_observations(spark, sf):
 def streamed_crossings(spark, sf):
     """Crossings found by the stream over the events, landed as files that each hold versions from
     the whole range and are read one at a time."""
-    values, landed = t.monitored(spark, sf), scratch(spark, "landed")
+    values, landed = stream_alerts.with_follows(t.monitored(spark, sf)), scratch(spark, "landed")
     dealt = values.repartition(8, F.pmod(F.xxhash64("dataset_version"), F.lit(8)))
     dealt.write.parquet(landed)
     wanted = t.rules(spark, sf)
     out = scratch(spark, "crossings")
     run = stream_alerts.run_crossings(
-        stream_alerts.stream_monitored(spark, landed, 1), lambda: spark.read.parquet(landed),
-        lambda: wanted, out, scratch(spark, "checkpoint")
-    )
+        stream_alerts.stream_monitored(spark, landed, 1), lambda: wanted, out, scratch(spark, "checkpoint"))
     run.awaitTermination()
     return stream_alerts.read_crossings(spark, out).drop("created_at")
 

@@ -17,7 +17,7 @@ from quayside.plans.shape_runs import export_shape
 from quayside.plans.warehouse import load_warehouse
 from quayside.schemas import OBSERVATION_KEY, PAGE, REQUEST, conform
 from quayside.session import scratch
-from quayside.sources.pages import land_pages, stream_pages, with_hash
+from quayside.sources.pages import announce_stage, stage_pages, stream_stages, with_hash
 from quayside.streaming.feeds import ingest_stream
 from workloads import tables as t
 
@@ -86,17 +86,18 @@ def _streamed(application: str, sf: str) -> str:
     spark = SparkSession.active()
     landing, target = scratch(spark, "landing"), scratch(spark, "streamed")
     for status in FETCHES:
-        land_pages(fetched_pages(spark, sf, status).coalesce(1), f"{landing}/{status}")
+        pages, folder = fetched_pages(spark, sf, status), f"{landing}/stages/{status}"
+        # The rows of one request land in several files.
+        stage_pages(pages.repartition(4, "body"), folder, asked(pages))
+        announce_stage(spark, landing, status)
     query = ingest_stream(
-        stream_pages(spark, f"{landing}/*", 1), target, scratch(spark, "checkpoint"), asked,
-        source=SOURCE,
-    )
+        stream_stages(spark, landing), landing, target, scratch(spark, "checkpoint"), source=SOURCE)
     query.awaitTermination()
     return target
 
 
 def streamed_store(spark: SparkSession, sf: str) -> str:
-    """The same fetches, landed as files and ingested by a stream, one micro-batch per file."""
+    """The same fetches, staged in several files each and ingested by a stream, one micro-batch per stage."""
     return _streamed(spark.sparkContext.applicationId, sf)
 
 
