@@ -19,13 +19,13 @@ MONTH_SALTS = 8
 
 def _days(column: Column | str) -> Column:
     """The day of a date as one bit of its month."""
-    return F.shiftleft(F.lit(1).cast("long"), F.dayofmonth(column) - 1)
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth(column) - 1)
 
 
 def _days_upto(day: Column, month: Column) -> Column:
     """All days of a month (numbered year * 12 + month) up to a date, as bits."""
     own = _month(day)
-    upto = F.shiftleft(F.lit(1).cast("long"), F.dayofmonth(day)) - 1
+    upto = F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth(day)) - 1
     nothing = F.lit(0).cast("long")
     return F.when(month < own, F.lit((1 << 31) - 1).cast("long")).when(month == own, upto).otherwise(nothing)
 

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from quayside.errors import ConfigError
 from quayside.operators.alerts import crossed_rules
 from quayside.schemas import MONITORED, STEP
 
@@ -119,14 +120,20 @@ def steps_of(monitored: DataFrame, patience_ms: int | None = None) -> DataFrame:
 
 def run_crossings(
     monitored: DataFrame, rules: Callable[[], DataFrame], out: str, checkpoint: str,
-    patience_ms: int | None = None,
+    patience_ms: int | None = None, every: str | None = None,
 ) -> StreamingQuery:
     """Append below `out` the crossings of the rules that live when a step is released.
 
+    The query ends when all that has landed is judged, or runs on with a micro-batch `every` so often. Only
+    a query that runs on can lose patience with a version that does not come (`patience_ms`).
+
     `monitored` streams values with `follows`. A batch owns its two folders and rewrites them on a retry,
     so every crossing is there once, also after a restart from `checkpoint`.
     """
+    if patience_ms is not None and every is None:
+        raise ConfigError("patience needs a query that runs on: say how often it looks for values")
     monitored.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         # Written first: the state is run through once, however often the steps are read.
@@ -136,7 +143,7 @@ def run_crossings(
 
     return (
         steps_of(monitored, patience_ms).writeStream.foreachBatch(judge).outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
