@@ -54,6 +54,12 @@ STEP = _schema(
     ("curve_id", _S), ("position", _S), ("dataset_version", _L), ("as_of", _D), ("price", CURVE_PRICE),
     ("previous_price", CURVE_PRICE), ("previous_version", _L),
 )
+#: What `crossings` finds.
+CROSSING = _schema(
+    ("alert_id", _S), ("rule_id", _S), ("dataset_version", _L), ("curve_id", _S), ("position", _S),
+    ("as_of", _D), ("price", CURVE_PRICE), ("previous_price", CURVE_PRICE), ("threshold", CURVE_PRICE),
+    ("created_at", _TS),
+)
 DATASET_VERSION = _schema(
     ("dataset_version", _L), ("logical_input_id", _S), ("manifest_sha256", _S), ("source", _S),
     ("created_at", _TS), ("imported_at", _TS), ("observations", _L), ("revisions", _L),

@@ -23,7 +23,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from quayside.errors import ConfigError
 from quayside.operators.alerts import crossed_rules
-from quayside.schemas import MONITORED, STEP
+from quayside.schemas import CROSSING, MONITORED, STEP, conform
 
 KEY = ["curve_id", "position"]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -148,6 +148,5 @@ def run_crossings(
 
 
 def read_crossings(spark: SparkSession, out: str) -> DataFrame:
-    """All crossings found so far."""
-    found = spark.read.parquet(f"{out}/crossings")
-    return found.drop("batch").withColumn("as_of", F.col("as_of").cast("date"))
+    """All crossings (`schemas.CROSSING`) found so far, also while the query runs."""
+    return conform(spark.read.schema(CROSSING).parquet(f"{out}/crossings"), CROSSING)
