@@ -20,8 +20,8 @@ HEADLINE = [
     "latest_points", "spread_by_position", "contango_days", "month_percent_rank",
     "revisions_per_month", "merge_current", "merge_stats", "silver_observations",
     "silver_rejected", "completeness_issues", "last_observations", "alert_crossings", "alert_log",
-    "streamed_crossings", "staging_key_counts", "table_fingerprint", "synthetic_prices",
-    "published_observations", "imported_versions", "warehouse_load_log",
+    "streamed_crossings", "staging_key_counts", "table_fingerprint", "shape_inputs_digest",
+    "published_observations", "imported_versions", "warehouse_load_log", "named_spread",
 ]
 
 

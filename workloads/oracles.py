@@ -567,7 +567,7 @@ ORACLES = {
         FROM counted""",
 }
 ORACLES["synthetic_overrides"] = (
-    ORACLES["synthetic_prices"].rsplit("SELECT series_id, CAST(d", 1)[0].rstrip()
+    ORACLES.pop("synthetic_prices").rsplit("SELECT series_id, CAST(d", 1)[0].rstrip()
     + """,
         per_day AS (SELECT CAST(o_orderdate AS DATE) AS d,
             max(CAST(o_totalprice AS DECIMAL(18,2))) AS top, min(o_orderstatus) AS status

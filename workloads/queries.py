@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.catalog import FUTURES
 from quayside.functions import dates, numeric
 from quayside.functions.digests import fingerprint, ordered_digest
 from quayside.functions.scans import dense_sequence
@@ -539,15 +538,6 @@ def half_even_prices(spark, sf):
     )
 
 
-@query
-def synthetic_prices(spark, sf):
-    """The generator's prices on every order date."""
-    days = t.table(spark, sf, "orders").select(
-        F.to_date("o_orderdate").alias("observation_date")
-    ).distinct()
-    return synthetic.synthetic_prices(days, ["RWTC", "RBRTE", *FUTURES])
-
-
 @query
 def synthetic_overrides(spark, sf):
     """Generated prices with those of high-total order dates replaced and of returns omitted."""
