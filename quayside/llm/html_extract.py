@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -128,12 +129,79 @@ NAMES = frozenset(
     "promotion recommended recommendation related replies reply respond responses search share sharing sidebar "
     "signup site-footer skip skyscraper social sponsor sponsored subscribe subscription tags teaser toolbar tooltip topbar "
     "warning widget".split())
-TOKENS = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<]*\Z""", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+SPECIAL = re.compile(r"""[>"']""")
 ATTRIBUTE = re.compile(r"""(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I)
 WHITE = re.compile(r"\s+")
 DECLARED = re.compile(r"""<html\b[^>]*?\slang\s*=\s*["']?\s*([a-z]+)""", re.I)
 
 
+class Tokens:
+    """Comments, tags and declarations of a page in their order, found in time linear in its length.
+
+    A tag ends at the first ``>`` outside quotes. Where that is depends only on the next special character,
+    so what was found from one is kept, and a page of tags that never end is not searched again and
+    again.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends: dict[int, int] = {}
+        self.gap = (0, -1)  # from the first place to the second there is no special character but the last
+        self.last = {c: page.rfind(c) for c in "<>\"'"}
+        self.barren = 0
+
+    def special(self, at: int) -> int:
+        """The next ``>`` or quote from `at` on, or -1."""
+        if not self.gap[0] <= at <= self.gap[1]:
+            m = SPECIAL.search(self.page, at)
+            self.gap = (at, m.start() if m else len(self.page))
+        return self.gap[1] if self.gap[1] < len(self.page) else -1
+
+    def tag_end(self, at: int) -> int:
+        """Where the ``>`` is that ends a tag of which `at` is a place outside quotes; -1 if none does."""
+        passed, found = [], -1
+        while at <= self.last[">"]:
+            at = self.special(at)
+            if at in self.ends:
+                found = self.ends[at]
+                break
+            passed.append(at)
+            char = self.page[at]
+            if char == ">":
+                found = at
+                break
+            if self.last[char] <= at:
+                break
+            at = self.page.find(char, at + 1) + 1
+        self.ends.update(dict.fromkeys(passed, found))
+        return found
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start and end of the next token from `at` on, and of a tag its slash, name and attributes."""
+        page = self.page
+        while (i := page.find("<", at)) >= 0:
+            if page.startswith("<!--", i):
+                stop = page.find("-->", i + 4)
+                return i, stop + 3 if stop >= 0 else len(page), "", "", ""
+            m = NAME.match(page, i) if i >= self.barren and i < self.last[">"] else None
+            if m:
+                # A quote may belong to the name or open a value: the longest name that gives a tag counts.
+                # If none does, none that starts inside this name and ends with it does either.
+                self.barren = m.end()
+                for cut in (m.end(), *(k for k in range(m.end() - 1, m.start(2), -1) if page[k] in "\"'")):
+                    stop = self.tag_end(cut)
+                    if stop >= 0:
+                        return i, stop + 1, m[1], page[m.start(2):cut], page[cut:stop]
+            if page[i + 1:i + 2] in ("!", "?", "/"):
+                stop = page.find(">", i + 2) if self.last[">"] > i + 1 else -1
+                return i, stop + 1 if stop >= 0 else len(page), "", "", ""
+            if self.last["<"] == i and page[i + 1:i + 2].isascii() and page[i + 1:i + 2].isalpha():
+                return i, len(page), "", "", ""
+            at = i + 1
+        return None
+
+
 @dataclass
 class Block:
     text: str
@@ -177,29 +245,30 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(text, len(text.split()), linked, state[0] > 0, state[1] > 0, state[2] > 0, state[3] > 0))
             parts = []
 
-    at, end = 0, len(page)
+    at, end, tokens, opened = 0, len(page), Tokens(page), Counter()
     while at < end:
-        m = TOKENS.search(page, at)
-        text = page[at:m.start() if m else end]
+        token = tokens.next(at)
+        text = page[at:token[0] if token else end]
         if text and not state[4]:
             parts.append((text, links > 0))
-        if not m:
+        if not token:
             break
-        at = m.end()
-        tag = (m[2] or "").lower()
+        _, at, slash, name, attributes = token
+        tag = name.lower()
         if not tag:
             continue
-        if m[1]:
+        if slash:
             if tag == "a":
                 links = max(0, links - 1)
             if tag in BLOCKS:
                 close()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if state != (before := stack[k][1:]):
+            while opened[tag]:  # ends the elements inside it as well
+                inner, *before = stack.pop()
+                opened[inner] -= 1
+                if inner == tag:
+                    if state != tuple(before):
                         close()
-                    state = before
-                    del stack[k:]
+                    state = tuple(before)
                     break
             continue
         if tag in BLOCKS:
@@ -210,9 +279,9 @@ def blocks(page: str) -> list[Block]:
                 parts.append((" ", False))
         if tag == "a":
             links += 1
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS | RAW:
+        if tag in VOID or attributes.endswith("/") and tag not in BLOCKS | RAW:
             continue
-        named = _named(m[3], state[0] > 0) and tag not in ("html", "body")
+        named = _named(attributes, state[0] > 0) and tag not in ("html", "body")
         if tag in RAW:  # its content ends only at its own end tag
             stop = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = stop.end() if stop else end
@@ -223,9 +292,11 @@ def blocks(page: str) -> list[Block]:
             close()
         if tag in BLOCKS or any(step):
             stack.append((tag, *state))
+            opened[tag] += 1
             state = tuple(a + b for a, b in zip(state, step))
             if tag == "p" and len(stack) > 1 and stack[-2][0] == "p":  # an open paragraph ends where the next begins
                 stack[-2:] = [("p", *stack[-2][1:])]
+                opened[tag] -= 1
                 state = tuple(a + b for a, b in zip(stack[-1][1:], step))
     close()
     return out

@@ -90,3 +90,21 @@ def test_evidence_on_pages(spark):
     assert len(got) == len(rows)
     assert all(got[i].lang == ("de", "fr", "en")[i % 3] for i in range(30))
     assert (got[90].lang, got[91].lang, got[92].lang) == ("de", "fr", "fr")
+
+
+def test_broken_markup_is_read_in_linear_time():
+    import time
+
+    for page in ('<a x="1" ' * 100_000, "<a " * 100_000 + '"', "<div>" * 50_000 + "</p>" * 50_000, '<a"' * 100_000, "<a \"<b ' " * 50_000,
+                 '<a"' * 50_000 + " '>", "<" * 300_000, "<!--" * 100_000):
+        start = time.monotonic()
+        html_extract.blocks("<p>before the rest</p>" + page)
+        assert time.monotonic() - start < 10, page[:12]
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ('<p class="a>b">one</p>', ["one"]), ("<p>one<b 'x>two</p>three", ["one<b 'x>two", "three"]), ("<p>a < b<c", ["a < b"]),
+    ("<p>x<!-- y --> z</p>", ["x z"]), ("<p>x</p ", ["x"]), ('<p>1<a"b c">2</p>', ["12"]), ("<p>1</'>2</p>", ["12"]),
+])
+def test_odd_tags_are_told_from_text(page, want):
+    assert [b.text for b in html_extract.blocks(page)] == want
