@@ -1,10 +1,13 @@
 """Quality rules by distribution divergence.
 
 A document's characters (by class) and its words (the common words of the corpus, and all others)
-are two histograms. For every language the references are the mean histograms of the documents
-declared to be in it that pass the base rules. The Jensen-Shannon distance (base 2, so between 0 and
-1) of a document to the nearest reference must stay below a limit for either histogram; a histogram
-of too few characters or words is not judged.
+are two histograms. A language's reference is the mean histograms of the documents that declare it and pass
+the base rules; only languages with enough different texts have one. The Jensen-Shannon distance
+(base 2, so between 0 and 1) of a document to a reference, taken without the document itself, must
+stay below a limit for either histogram; a histogram of too few characters or words is not judged.
+Words are held against the reference of the document's own language, or the nearest if it declares
+none; of a language without a reference no common words are known, and words are not judged.
+Characters tell junk from prose, hardly one language from the next, and are held against the nearest.
 
 Documents are read twice, once to count words and once to take their counts; what follows reads the
 counts. No text is shuffled.
@@ -28,6 +31,9 @@ CLASSES = ("lower", "upper", "digit", "space", "symbol", "other")
 #: Limits of the distances, and the least characters and words to judge by.
 CLASS_LIMIT, CLASS_GUARD = 0.29, 200
 WORD_LIMIT, WORD_GUARD = 0.46, 50
+#: A language has a reference if it has this share of all documents (so there are at most 1/SHARE of
+#: them), and at least so many different texts that pass the base rules.
+SHARE, LEAST_TEXTS = 0.001, 20
 
 
 def window_hashes(parts: Column) -> Column:
@@ -76,9 +82,17 @@ def classes(text: Column, n_symbols: Column) -> Column:
     return F.array(*[c.cast("double") for c in (lower, upper, digit, space, n_symbols, rest)])
 
 
-def common_words(docs: DataFrame, per_language: int = COMMON) -> list[str]:
-    """The most frequent words of each declared language, over all documents; ties by the word."""
-    parts = docs.where("lang is not null").select(
+def languages(docs: DataFrame, share: float = SHARE) -> list[str]:
+    """The declared languages that hold at least `share` of all documents; at most 1/share."""
+    counts = docs.groupBy("lang").count()
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    held = counts.where(F.col("lang").isNotNull() & (F.col("count") >= share * total))
+    return sorted(r["lang"] for r in held.collect())
+
+
+def common_words(docs: DataFrame, langs: list[str], per_language: int = COMMON) -> list[str]:
+    """The most frequent words of each of `langs`, over all their documents; ties by the word."""
+    parts = docs.where(F.col("lang").isin(langs)).select(
         "lang", F.explode(F.split(lower_ascii(F.col("text")), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
     counts = parts.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
@@ -111,35 +125,43 @@ def distance(pairs: list[tuple[Column, Column]]) -> Column:
 
 @dataclass(frozen=True)
 class Reference:
-    """Mean shares of one language: of character classes, of each common word, of other words."""
+    """Mean shares of one language: of character classes, of each common word, of other words; and
+    the documents that they are the mean of."""
 
     lang: str
+    docs: int
     classes: tuple[float, ...]
     words: tuple[float, ...]
 
 
-def references(counts: DataFrame, n_common: int) -> list[Reference]:
-    """Mean histograms by language over the documents that pass the base rules.
-
-    Languages are the few declared ones; each gives one row.
-    """
-    good = counts.where("not base_failed and lang is not null")
+def references(counts: DataFrame, langs: list[str], n_common: int, least: int = LEAST_TEXTS) -> list[Reference]:
+    """Mean histograms of those of `langs` that have `least` different texts passing the base rules."""
+    good = counts.where(~F.col("base_failed") & F.col("lang").isin(langs))
+    texts = good.select("lang", "digest").distinct().groupBy("lang").count().where(F.col("count") >= least)
     shares = [F.avg(F.get("classes", F.lit(i)) / F.col("n_chars")) for i in range(len(CLASSES))]
     flat = good.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *[c.alias(f"c{i}") for i, c in enumerate(shares)])
     of_words = good.select("lang", "n_words", F.explode("seen").alias("s")).groupBy("lang", "s.i").agg(
         F.sum(F.col("s.n") / F.col("n_words")).alias("share"))
-    rows = {r["lang"]: r for r in flat.collect()}
+    known = {r["lang"] for r in texts.collect()}
+    rows = {r["lang"]: r for r in flat.collect() if r["lang"] in known}
     table = {(r["lang"], r["i"]): r["share"] for r in of_words.collect()}
     return [
-        Reference(lang, tuple(r[f"c{i}"] or 0.0 for i in range(len(CLASSES))),
+        Reference(lang, r["docs"], tuple(r[f"c{i}"] or 0.0 for i in range(len(CLASSES))),
                   tuple(table.get((lang, i), 0.0) / r["docs"] for i in range(n_common)))
         for lang, r in sorted(rows.items())
     ]
 
 
+def without(ref: Reference, mean: Column, own: Column) -> Column:
+    """A mean of the reference without the document at hand, if it is one of those averaged."""
+    inside = (F.col("lang") == ref.lang) & ~F.col("base_failed")
+    rest = F.greatest((ref.docs * mean - own) / max(ref.docs - 1, 1), F.lit(0.0))
+    return F.when(inside, rest).otherwise(mean)
+
+
 def class_distance(ref: Reference) -> Column:
     p = [F.get("classes", F.lit(i)) / F.greatest("n_chars", F.lit(1)) for i in range(len(CLASSES))]
-    return distance([(c, F.lit(q)) for c, q in zip(p, ref.classes)])
+    return distance([(c, without(ref, F.lit(q), c)) for c, q in zip(p, ref.classes)])
 
 
 def word_distance(ref: Reference) -> Column:
@@ -148,50 +170,68 @@ def word_distance(ref: Reference) -> Column:
     n = F.greatest("n_words", F.lit(1))
 
     def part(s: Column) -> Column:
-        p, r = s["n"] / n, F.get(q, s["i"])
+        p = s["n"] / n
+        r = without(ref, F.get(q, s["i"]), p)
         return _half(p, r) + _half(r, p) - r
 
     inside = F.aggregate("seen", F.lit(0.0), lambda acc, s: acc + part(s))
-    others = 1 - F.aggregate("seen", F.lit(0.0), lambda acc, s: acc + s["n"] / n)
-    rest = F.lit(1 - sum(ref.words))
-    total = (inside + F.lit(sum(ref.words)) + _half(others, rest) + _half(rest, others)) / 2
+    common = F.aggregate("seen", F.lit(0.0), lambda acc, s: acc + s["n"] / n)
+    expected = without(ref, F.lit(sum(ref.words)), common)
+    others, rest = 1 - common, 1 - expected
+    total = (inside + expected + _half(others, rest) + _half(rest, others)) / 2
     return F.sqrt(F.greatest(total, F.lit(0.0)))
 
 
 def measure(docs: DataFrame) -> tuple[DataFrame, list[Reference]]:
     """Counts of every document, written to the shared folder, and the references."""
     own = docs.select("doc_id", "text", "lang")
-    common = common_words(own)
+    langs = languages(own)
+    common = common_words(own, langs)
     rows = with_seen(base(own), common)
     text = F.coalesce(F.col("text"), F.lit(""))
     counts = cut(rows.select(
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.length(text).alias("n_chars"), classes(text, F.col("n_symbols")).alias("classes"), "seen",
+        F.xxhash64(text).alias("digest"),
     ), "divergence")
-    return counts, references(counts, len(common))
+    return counts, references(counts, langs, len(common))
+
+
+def nearest(each: list[Column]) -> Column:
+    return each[0] if len(each) == 1 else F.least(*each)
+
+
+def own_first(refs: list[Reference], each: list[Column]) -> Column:
+    """The distance to the reference of the declared language, to the nearest where it has none."""
+    chosen = nearest(each)
+    for ref, far in zip(refs, each):
+        chosen = F.when(F.col("lang") == ref.lang, far).otherwise(chosen)
+    return chosen
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """Base counts, distances and verdict for every row of `docs`.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    class_distance and word_distance (to the nearest reference).
-
-    A null or empty text has no words and fails the base rules; without any reference (no declared
-    language) the base rules alone decide; a null doc_id is kept as it is; repeated rows are judged
-    alike; no rows give no rows; other columns are not looked at.
+    class_distance (to the nearest reference) and word_distance (to that of the document's language, to
+    the nearest if it has none).
+
+    A null or empty text has no words and fails the base rules; without any reference (no language is
+    declared often enough) the base rules alone decide and the distances are zero; a document of a
+    declared language without a reference is judged by class_distance only; a null doc_id is kept as
+    it is; repeated rows are judged alike, and count once towards the texts that a language needs; no
+    rows give no rows; other columns are not looked at.
     """
     counts, refs = measure(docs)
-    least = lambda parts: parts[0] if len(parts) == 1 else F.least(*parts)
-    near = F.lit(0.0)
-    far = {"class_distance": near, "word_distance": near}
+    far = {"class_distance": F.lit(0.0), "word_distance": F.lit(0.0)}
     if refs:
-        far = {"class_distance": least([class_distance(r) for r in refs]),
-               "word_distance": least([word_distance(r) for r in refs])}
+        far = {"class_distance": nearest([class_distance(r) for r in refs]),
+               "word_distance": own_first(refs, [word_distance(r) for r in refs])}
     judged = counts.withColumns(far)
+    unknown = F.col("lang").isNotNull() & ~F.col("lang").isin([r.lang for r in refs])
     fine = (
         ((F.col("n_chars") < CLASS_GUARD) | (F.col("class_distance") <= CLASS_LIMIT))
-        & ((F.col("n_words") < WORD_GUARD) | (F.col("word_distance") <= WORD_LIMIT))
+        & ((F.col("n_words") < WORD_GUARD) | unknown | (F.col("word_distance") <= WORD_LIMIT))
     )
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

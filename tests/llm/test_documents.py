@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -315,6 +316,66 @@ def test_divergence_rejects_what_the_references_do_not_look_like(spark):
     assert not any(r.kept for r in fine if r.doc_id % 7 == 5)
 
 
+def brute_verdicts(rows, share=divergence.SHARE, least=divergence.LEAST_TEXTS):
+    """(doc_id, kept, class distance, word distance) by plain Python, the means taken anew without each document."""
+    def shares(text):
+        space = sum(c in " \t\n\x0b\f\r" for c in text)
+        kinds = [sum(unicodedata.category(c) == k for c in text) for k in ("Ll", "Lu")]
+        kinds += [sum(c in "0123456789" for c in text), space, sum(c in divergence.SYMBOLS for c in text)]
+        return [k / max(len(text), 1) for k in (*kinds, len(text) - sum(kinds))]
+
+    def jsd(p, q):
+        half = lambda a, b: sum(x * math.log2(2 * x / (x + y)) for x, y in zip(a, b) if x > 0)
+        return math.sqrt(max((half(p, q) + half(q, p)) / 2, 0))
+
+    held = collections.Counter(lang for _, _, lang, *_ in rows if lang is not None)
+    common = set()
+    for lang in held:
+        if held[lang] >= share * len(rows):
+            c = collections.Counter(w for _, t, own, *_ in rows if own == lang for w in words(low(t)))
+            common |= set(sorted(c, key=lambda w: (-c[w], w))[:divergence.COMMON])
+    common = sorted(common)
+    def histogram(text):
+        c, n = collections.Counter(words(low(text))), max(len(words(text)), 1)
+        own = [c[w] / n for w in common]
+        return shares(text or ""), [*own, 1 - sum(own)]
+
+    each = [(i, t or "", lang, brute_rules(t)[-1], *histogram(t)) for i, t, lang, *_ in rows]
+    members = collections.defaultdict(list)
+    for k, (_, _, lang, failed, *_) in enumerate(each):
+        if not failed and lang is not None:
+            members[lang].append(k)
+    members = {lang: ks for lang, ks in members.items()
+               if held[lang] >= share * len(rows) and len({each[k][1] for k in ks}) >= least}
+    out = []
+    for k, (i, text, lang, failed, *own) in enumerate(each):
+        far = {}
+        for name, ks in members.items():
+            rest = [j for j in ks if j != k]
+            far[name] = [jsd(own[h], [sum(each[j][4 + h][x] for j in rest) / len(rest) for x in range(len(own[h]))]) for h in (0, 1)]
+        a, b = [min(f[h] for f in far.values()) for h in (0, 1)]
+        b = far[lang][1] if lang in far else b
+        fine = (len(text) < divergence.CLASS_GUARD or a <= divergence.CLASS_LIMIT) and (
+            len(words(text)) < divergence.WORD_GUARD or b <= divergence.WORD_LIMIT or (lang is not None and lang not in far))
+        out.append((i, not failed and fine, a, b))
+    return out
+
+
+def junk(seed, n=200):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("0123456789#%&$@=+") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+
+def test_verdicts_equal_brute_force(spark):
+    rows = documents(150) + AWKWARD + [
+        (800, junk(1), "zz", "s"), (801, junk(2), "en", "s"), (802, junk(3), None, "s"), (803, prose(random.Random(4), "de", 90), "zy", "s"),
+        (804, prose(random.Random(5), "fr", 90), None, "s"), *[(810 + i, junk(9), "zx", "s") for i in range(30)]]
+    got = {(r.doc_id, r.kept, round(r.class_distance, 6), round(r.word_distance, 6)) for r in divergence.judge(frame(spark, rows)).collect()}
+    assert got == {(i, k, round(a, 6), round(b, 6)) for i, k, a, b in brute_verdicts(rows)}
+    kept = {i: k for i, k, *_ in got}
+    assert not any(kept[i] for i in (800, 801, 802, 810)) and kept[803] and kept[804]
+
+
 def test_jensen_shannon_distance(spark):
     from pyspark.sql import functions as F
 
