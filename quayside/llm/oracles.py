@@ -32,36 +32,9 @@ from doc left join hit using (r) left join listed using (r)
 """
 
 
-def _branch(level: str, before: str, after: str) -> str:
-    """One level of the template tree: names branches, pools their labels, smooths their share."""
-    return f"""
-{after}_node as (
-  select host, template, {level}, sum(n) n, sum(m) m, sum(b) b from {before} group by all
-), {after}_all as (
-  select host, template, count(*) k, sum(n) an, sum(m) am, sum(b) ab from {after}_node group by all
-), {after}_named as (
-  select host, template, {level}, template || '/' || case when {level} = '' then ''
-    when k >= 16 and k >= 0.5 * an then '*'
-    when m > 0 and abs(b / m - ab / am) <= 1.96 * sqrt(ab / am * (1 - ab / am) / m) then '+'
-    else {level} end branch
-  from {after}_node join {after}_all using (host, template)
-), {after}_tree as (
-  select host, s1, s2, s3, n, m, b, purity, branch template
-  from {before} join {after}_named using (host, template, {level})
-), {after} as (
-  select host, s1, s2, s3, n, m, b, template, (pb + 10.0 * purity) / (pm + 10.0) purity
-  from {after}_tree join (select host, template, sum(b) pb, sum(m) pm from {after}_tree group by all) using (host, template)
-)"""
-
-
-def _shape(i: int) -> str:
-    return f"""coalesce(case when length(parts[{i}]) >= 32 then '{{long}}'
-      else regexp_replace(parts[{i}], '[0-9]+', '{{n}}', 'g') end, '')"""
-
-
 _FITS = "(host = '{0}' or ends_with(host, '.{0}')) and starts_with(path, '{1}')"
 OP10 = f"""
-with url as (
+with recursive url as (
   select page_id, case when strpos(coalesce(url, ''), '://') = 0 then ''
     else substr(url, strpos(url, '://') + 3) end rest from pages
 ), part as (
@@ -76,18 +49,43 @@ with url as (
 ), shaped as (
   select page_id, host, path, "rule", case when "rule" in ('com/', 'www.example.com/en/') then 'allow'
     when "rule" is not null then 'block' end says,
-    {_shape(1)} s1, {_shape(2)} s2, {_shape(3)} || case when len(parts) > 3 then '/**' else '' end s3 from ruled
+    array_to_string(list_transform(parts, lambda s: case when length(s) >= 32 then '{{long}}'
+      else regexp_replace(s, '[0-9]+', '{{n}}', 'g') end), '/') shape from ruled
 ), leaf as (
-  select host, s1, s2, s3, count(*)::double n, count(says)::double m, count(*) filter (says = 'block')::double b
+  select host, shape, count(*)::double n, count(says)::double m, count(*) filter (says = 'block')::double b
   from shaped group by all
 ), root as (
-  select host, s1, s2, s3, n, m, b, '' template, (hb + 10.0 * g) / (hm + 10.0) purity
-  from leaf join (select host, sum(b) hb, sum(m) hm from leaf group by 1) using (host),
+  select host, shape, n, m, b, g,
+    (hb + 10.0 * g + 0.1 * (hn - hm) * g) / (hm + 10.0 + 0.1 * (hn - hm)) purity
+  from leaf join (select host, sum(n) hn, sum(m) hm, sum(b) hb from leaf group by 1) using (host),
     (select (coalesce(sum(b), 0) + 1) / (coalesce(sum(m), 0) + 2) g from leaf)
-), {_branch('s1', 'root', 'one')}, {_branch('s2', 'one', 'two')}, {_branch('s3', 'two', 'three')}
-select page_id, host, path, "rule", coalesce(says, case when purity >= 0.9 then 'block' else 'allow' end) verdict,
-  template, purity
-from shaped join three using (host, s1, s2, s3)
+), tree as (
+  select host, shape, n, m, b, g, case when shape = '' then [] else string_split(shape, '/') end rest,
+    '' template, purity, false ended, m own from root
+  union all
+  select host, shape, n, m, b, g, rest[k + 2:], template,
+    (ob + 10.0 * purity + 0.1 * (onn - om) * g) / (om + 10.0 + 0.1 * (onn - om)), next = '', om
+  from (
+    select *, sum(n) over own onn, sum(m) over own om, sum(b) over own ob from (
+      select * replace (template || array_to_string(list_transform(rest[:k], lambda s: '/' || s), '') || case
+        when next = '' then '' when kinds >= 16 and kinds >= 0.5 * an then '/*'
+        when nm > 0 and abs(nb / nm - ab / am) <= 1.96 * sqrt(ab / am * (1 - ab / am) / nm) then '/+'
+        else '/' || next end as template) from (
+        select *, sum(m) over node nm, sum(b) over node nb, count(distinct next) over (partition by host, template) kinds from (
+          select *, coalesce(rest[k + 1], '') as next from (
+            select *, list_position(list_transform(range(1, len(low) + 2), lambda i: coalesce(low[i] = high[i], false)), false) - 1 k
+            from (
+              select *, min(rest) over up low, max(rest) over up high, sum(n) over up an, sum(m) over up am, sum(b) over up ab
+              from tree where not ended window up as (partition by host, template)
+            )))
+        window node as (partition by host, template, next)
+      ))
+    window own as (partition by host, template)
+  )
+)
+select page_id, host, path, "rule", coalesce(says, case when purity >= 0.9 and own >= 5 then 'block' else 'allow' end) verdict,
+  template, purity, own::bigint own_labels
+from shaped join (from tree where ended) using (host, shape)
 """
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

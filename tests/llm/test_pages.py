@@ -62,11 +62,13 @@ URLS = [
 def test_urls_equal_the_sql(spark):
     rows = URLS + [(100 + i, f"http://h{i % 4}.net/{'es' if i % 3 else 'en'}/{i}.html") for i in range(120)]
     rows += [(300 + i, f"http://big.org/user{chr(97 + i % 26)}x{'q' * (i % 5)}/p") for i in range(90)]
+    rows += [(400 + i, "http://trap.org" + "/a" * (i % 9) + f"/b{'cd'[i % 2]}" + "/z" * 30) for i in range(40)]
+    rows += [(500 + i, f"http://mix.net/{w}/x/{'pqr'[i % 3]}/{i}") for i, w in enumerate(["es", "fr", "en"] * 20)]
     got = urls.judge(frame(spark, [(i, u, None) for i, u in rows])).collect()
     con = duckdb.connect()
     con.execute("create table pages (page_id bigint, url varchar)")
     con.executemany("insert into pages values (?, ?)", rows)
-    cols = ["page_id", "host", "path", "rule", "verdict", "template"]
+    cols = ["page_id", "host", "path", "rule", "verdict", "template", "purity", "own_labels"]
     other = con.sql(OP10)
     want = sorted((tuple(r[other.columns.index(c)] for c in cols) for r in other.fetchall()), key=str)
     assert sorted((tuple(r[c] for c in cols) for r in got), key=str) == want
@@ -75,6 +77,27 @@ def test_urls_equal_the_sql(spark):
         "com/", "example.com/en/", "www.example.com/en/", "net/es/", None, "net/fr/", None, None, "com/", "example.com/en/", "com/", None]
     assert (by[3].host, by[3].path, by[14].path, by[9].host) == ("www.example.com", "/en/5", "", "")
     assert urls.judge(frame(spark, [])).count() == 0
+    assert by[404].template == "/a/a/a/a/bc" + "/z" * 30
+
+
+def test_templates_need_labels_of_their_own(spark):
+    rows = [(i, f"http://h.net/{('es', 'fr', 'en', 'de')[i % 4]}/{i}") for i in range(400)]
+    # below one wildcard most urls of x.net are blocked by a rule; those that are not follow them
+    rows += [(1000 + i, f"http://x.net/{'es/' if i % 40 else ''}{'abcdefghijklmnopqrstuvwxyz'[i % 26]}{chr(97 + i // 26)}") for i in range(400)]
+    got = {r.page_id: r for r in urls.judge(frame(spark, [(*r, None) for r in rows])).collect()}
+    assert all((r.verdict == "block") == (r.rule is not None) for r in got.values() if r.host == "h.net")
+    assert all(r.own_labels == 0 for r in got.values() if r.host == "h.net" and r.rule is None)
+    assert all(r.own_labels >= urls.OWN_LABELS and r.purity >= urls.REJECT for r in got.values() if r.rule is None and r.verdict == "block")
+
+
+def test_a_merged_branch_is_rejected_by_its_labels(spark):
+    # of the many branches of m.net only one has no rule of its own
+    rules = [("block", "m.net", f"/{a}{b}") for a in "abcdefgh" for b in "abcdefgh"]
+    rows = [(i, f"http://m.net/{a}{b}/x{i % 3}") for i, (a, b) in enumerate((a, b) for a in "abcdefgh" for b in "abcdefgh")]
+    rows += [(900, "http://m.net/zz/x1"), (901, "http://m.net/zz"), (902, "http://n.net/zz/x1")]
+    got = {r.page_id: r for r in urls.judge(frame(spark, [(*r, None) for r in rows]), rules).collect()}
+    assert got[900].verdict == "block" and got[900].rule is None and got[900].template == "/*/+"
+    assert got[902].verdict == "allow" and got[902].own_labels == 0
 
 
 def test_evidence_on_pages(spark):
