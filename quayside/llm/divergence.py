@@ -105,8 +105,9 @@ def with_seen(rows: DataFrame, common: list[str]) -> DataFrame:
     often. The words found are a column of their own, as they are visited once per distinct one."""
     if not common:
         return rows.withColumn("seen", F.array().cast("array<struct<i:int,n:int>>"))
-    known = F.array(*map(F.lit, common))
-    hits = F.filter(F.transform("w", lower_ascii), lambda w: w.isin(common))
+    known, longest = F.array(*map(F.lit, common)), max(len(w.encode()) for w in common)
+    short = F.filter("w", lambda w: F.octet_length(w) <= longest)  # lower-casing A-Z keeps the length
+    hits = F.filter(F.transform(short, lower_ascii), lambda w: w.isin(common))
     return rows.withColumn("_hits", hits).withColumn("seen", F.transform(F.array_distinct("_hits"), lambda c: F.struct(
         (F.array_position(known, c) - 1).cast("int").alias("i"),
         F.size(F.filter("_hits", lambda w: w == c)).alias("n")))).drop("_hits")
