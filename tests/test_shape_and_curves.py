@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -8,10 +9,12 @@ from pyspark.sql import functions as F
 
 from quayside.catalog import CurveConfig
 from quayside.errors import MixedSourceError, ShapeEstimationError
-from quayside.operators import curves, shape
+from quayside.operators import curves, reports, shape
 from quayside.schemas import CURVE, PARAMS
 from quayside.sources.synthetic import synthetic_history, synthetic_prices
 from tests.support import flat_params, gold, observed, T1
+from workloads import tables
+from workloads.queries import QUERIES
 
 SERIES = ("RWTC", "RBRTE", "RCLC1", "RCLC2", "RCLC3", "RCLC4")
 # The published digests of the generated price grid and of the parameters.
@@ -202,3 +205,39 @@ def test_curves_are_configured_by_data(spark):
 def test_factor_rows_are_the_parameters_only(spark):
     assert curves.shape_factors(flat_params(spark)).count() == 12
     assert PARAMS.names == ["position", "month", "s", "n_obs"]
+
+
+@pytest.mark.parametrize("left_out", ["month = 0", "month = 3 and position <> 'C1'", "month = 3"])
+def test_newest_curves_hold_every_latest_point(spark, left_out):
+    """Also where the newest month's parameters do not name every position, or none."""
+    rows = [(source, series, date(2024, month, day), str(50 + day)) for source in ("a", "b")
+            for series in ("RWTC", "RBRTE") for month in (1, 2, 3) for day in range(1, 6)
+            if (source, series, month) != ("b", "RBRTE", 3)]
+    current = spark.createDataFrame(
+        [(s, i, d, Decimal(p)) for s, i, d, p in rows],
+        "source string, series_id string, observation_date date, price decimal(18,6)")
+    params = flat_params(spark).filter(f"not ({left_out})")
+    build = lambda **kw: curves.build_curves(
+        current, params, params_sha256="x", shape_method_version="v", by=("source",), **kw)
+    few = build(newest=True)
+    latest = lambda points: sorted(map(str, reports.latest_points(points, by=("source",)).collect()))
+    assert latest(few) == latest(build())
+    assert few.select("source", "as_of_date").distinct().count() <= 4
+
+
+def test_latest_reads_combine_by_hashing(spark):
+    """Before points are unfolded, only the newest date of a source is kept, without sorting."""
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("the test tables are not here")
+    for name in ("latest_points", "monitored_values", "latest_curves_grouped"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "max_by(spot_RWTC" in plan.replace("`", ""), name
+
+
+def test_lines_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("the test tables are not here")
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 100)
+    seen = tables.observations(spark, "/root/testdata/sf0.001")
+    lines = tables.table(spark, "/root/testdata/sf0.001", "lineitem").count()
+    assert seen.rdd.getNumPartitions() == lines // 100 + 1
