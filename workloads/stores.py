@@ -10,6 +10,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.operators.parse import parse_rows
 from quayside.operators.shape import METHOD_VERSION, params_sha256
 from quayside.plans.ingest import ShapeInput, run_ingest
 from quayside.plans.serving import Serving, import_pending
@@ -17,7 +18,7 @@ from quayside.plans.shape_runs import export_shape
 from quayside.plans.warehouse import load_warehouse
 from quayside.schemas import OBSERVATION_KEY, PAGE, REQUEST, conform
 from quayside.session import scratch
-from quayside.sources.pages import announce_stage, stage_pages, stream_stages, with_hash
+from quayside.sources.pages import announce_stage, page_rows, stage_pages, stream_stages, with_hash
 from quayside.streaming.feeds import ingest_stream
 from workloads import tables as t
 
@@ -81,6 +82,19 @@ def store(spark: SparkSession, sf: str) -> str:
     return _built(spark.sparkContext.applicationId, sf)
 
 
+@lru_cache(maxsize=None)
+def _parsed(application: str, sf: str) -> str:
+    spark = SparkSession.active()
+    path = scratch(spark, "parsed")
+    parse_rows(page_rows(t.pages(spark, sf)), t.catalog(spark), "run-1").write.parquet(path)
+    return path
+
+
+def parsed(spark: SparkSession, sf: str) -> DataFrame:
+    """The events' pages, parsed once as a run does: both outputs and the conflict check read them."""
+    return spark.read.parquet(_parsed(spark.sparkContext.applicationId, sf))
+
+
 @lru_cache(maxsize=None)
 def _streamed(application: str, sf: str) -> str:
     spark = SparkSession.active()
