@@ -1,4 +1,4 @@
-"""Upward crossings over a stream of monitored values, with a few rows of state per curve position.
+"""Upward crossings over a stream of monitored values, with keyed state for groups of curve positions.
 
 Values name the version of their position that they follow, so the stream itself tells what is still
 missing. A value waits in its position's state until the one it follows has been judged, and is then
@@ -10,8 +10,8 @@ their rule.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
-from datetime import date
 from decimal import Decimal
 
 import pandas as pd
@@ -29,6 +29,13 @@ KEY = ["curve_id", "position"]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: What the first value of a position follows.
 START = -1
+#: Groups of positions whose state is one value.
+BUCKETS = 1024
+#: What goes into the state, and the steps that leave it, dates as text.
+FLAT = [*KEY, "follows", "dataset_version", "as_of", "priced", "price"]
+FLAT_STEP = T.StructType([
+    T.StructField(f.name, {"as_of": T.StringType(), "price": T.LongType(), "previous_price": T.LongType()}.get(f.name, f.dataType))
+    for f in STEP.fields])
 
 
 def with_follows(values: DataFrame) -> DataFrame:
@@ -44,78 +51,114 @@ def stream_monitored(spark: SparkSession, path: str, files_per_batch: int = 100)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+class Place:
+    """What is kept of one curve position: the last version released, the last priced one before it with its
+    price, the values that wait, by the version they follow, and when patience with them ends."""
+
+    __slots__ = ("moved", "priced", "price", "waiting", "until")
+
+    def __init__(self, moved: int = START, priced: int | None = None, price: int | None = None,
+                 waiting: dict | None = None, until: int | None = None):
+        self.moved, self.priced, self.price, self.waiting, self.until = moved, priced, price, waiting or {}, until
+
+    def packed(self) -> tuple:
+        return self.moved, self.priced, self.price, self.waiting, self.until
+
+    def release(self) -> list[tuple]:
+        """Go on as far as the waiting values reach: the rising steps on the way."""
+        steps, start = [], self.moved
+        while (value := self.waiting.pop(self.moved, None)) is not None and value[0] > self.moved:
+            self.moved, as_of, now = value
+            if now is not None:
+                if self.price is not None and now > self.price:
+                    steps.append((self.moved, as_of, now, self.price, self.priced))
+                self.priced, self.price = self.moved, now
+        if self.moved != start:
+            self.waiting = {follows: value for follows, value in self.waiting.items() if value[0] > self.moved}
+        return steps
+
+
 class Sequencer(StatefulProcessor):
-    """State of one curve position: the last version released, the last price before it, and the values
-    that wait, by the version they follow. `patience_ms` bounds the wait: when it is over the earliest
-    waiting value is released although what it follows never came."""
+    """State of one bucket of curve positions: their places (`Place`), packed as one value that is read and
+    written once per micro-batch, so the calls to the state do not grow with positions or values.
+    `patience_ms` bounds the wait: when it is over the earliest waiting value of a position is released
+    although what it follows never came."""
 
     def __init__(self, patience_ms: int | None):
         self.patience_ms = patience_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.place = handle.getValueState("place", "version long, priced long, price string")
-        self.waiting = handle.getMapState("waiting", "follows long", "version long, as_of string, price string")
+        self.state = handle.getValueState("places", "packed binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        landed = {}
+        places, steps, touched = self._read(), [], set()
         for part in rows:
-            for follows, version, as_of, price in zip(part["follows"], part["dataset_version"], part["as_of_date"], part["price"]):
-                price = None if price is None or pd.isna(price) else str(price)
-                landed[START if pd.isna(follows) else int(follows)] = (int(version), None if as_of is None else str(as_of), price)
-        yield from self._release(key, landed, timerValues)
+            columns = (part[c].tolist() for c in FLAT)
+            for curve, position, follows, version, as_of, priced, price in zip(*columns):
+                own = (curve, position)
+                place = places.get(own)
+                if place is None:
+                    place = places[own] = Place()
+                if version > place.moved:  # what was released before is not judged again
+                    place.waiting[follows] = (version, as_of, price if priced else None)
+                    touched.add(own)
+        for own in touched:
+            steps += [(*own, *step) for step in places[own].release()]
+        yield from self._written(places, steps, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        waiting = {k[0]: v for k, v in self.waiting.iterator()}
-        if waiting:
-            last = self.place.get() if self.place.exists() else (START, None, None)
-            self.place.update((min(waiting), last[1], last[2]))
-        yield from self._release(key, {}, timerValues)
-
-    def _release(self, key, landed: dict, timerValues) -> Iterator[pd.DataFrame]:
-        version, priced, price = self.place.get() if self.place.exists() else (START, None, None)
-        moved, steps = version, []
-        while True:
-            value = landed.pop(moved, None)
-            if value is None and self.waiting.containsKey((moved,)):
-                value = self.waiting.getValue((moved,))
-                self.waiting.removeKey((moved,))
-            if value is None or value[0] <= moved:
-                break
-            moved, as_of, now = value
-            if now is not None:
-                if price is not None and Decimal(now) > Decimal(price):
-                    steps.append((*key, moved, as_of and date.fromisoformat(as_of), Decimal(now), Decimal(price), priced))
-                priced, price = moved, now
-        if moved != version:
-            self.place.update((moved, priced, price))
-        for follows, value in landed.items():
-            if value[0] > moved:  # what was released before is not judged again
-                self.waiting.updateValue((follows,), value)
-        self._wait(timerValues)
+        places, steps, now = self._read(), [], timerValues.getCurrentProcessingTimeInMs()
+        for own, place in places.items():
+            if place.waiting and place.until is not None and place.until <= now:
+                place.moved, place.until = min(place.waiting), None
+                steps += [(*own, *step) for step in place.release()]
+        yield from self._written(places, steps, timerValues)
+
+    def _read(self) -> dict[tuple, Place]:
+        held = self.state.get()
+        return {} if held is None else {own: Place(*packed) for own, packed in pickle.loads(held[0]).items()}
+
+    def _written(self, places: dict[tuple, Place], steps: list[tuple], timerValues) -> Iterator[pd.DataFrame]:
+        if self.patience_ms is not None:
+            self._wait(places, timerValues)
+        self.state.update((pickle.dumps({own: place.packed() for own, place in places.items()}, protocol=5),))
         if steps:
-            yield pd.DataFrame(steps, columns=STEP.names)
-
-    def _wait(self, timerValues) -> None:
-        if self.patience_ms is None:
-            return
-        held = next(iter(self.waiting.keys()), None) is not None
+            yield pd.DataFrame(steps, columns=[f.name for f in FLAT_STEP.fields])
+
+    def _wait(self, places: dict[tuple, Place], timerValues) -> None:
+        """One timer per bucket, for the position with which patience ends first."""
+        end = timerValues.getCurrentProcessingTimeInMs() + self.patience_ms
+        for place in places.values():
+            place.until = None if not place.waiting else place.until or end
+        first = min((p.until for p in places.values() if p.until is not None), default=None)
         timers = list(self.handle.listTimers())
-        if held and not timers:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience_ms)
-        elif not held:
-            for at in timers:
+        for at in timers:
+            if at != first:
                 self.handle.deleteTimer(at)
+        if first is not None and first not in timers:
+            self.handle.registerTimer(first)
 
     def close(self) -> None:
         pass
 
 
-def steps_of(monitored: DataFrame, patience_ms: int | None = None) -> DataFrame:
-    """The rising steps (`schemas.STEP`) of a stream of values, each once, in version order."""
-    return monitored.groupBy(*KEY).transformWithStateInPandas(
-        statefulProcessor=Sequencer(patience_ms), outputStructType=STEP, outputMode="append",
+def steps_of(monitored: DataFrame, patience_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """The rising steps (`schemas.STEP`) of a stream of values, each once, in version order. Prices go
+    through the state as whole numbers of their last place. `buckets` stays as it is for a checkpoint."""
+    scale = STEP["price"].dataType.scale
+    units = F.coalesce((F.col("price") * F.lit(10**scale)).cast("bigint"), F.lit(0))
+    flat = monitored.select(
+        F.pmod(F.xxhash64(*KEY), F.lit(buckets)).alias("bucket"), *KEY,
+        F.coalesce("follows", F.lit(START)).cast("bigint").alias("follows"), "dataset_version",
+        F.col("as_of_date").cast("string").alias("as_of"), F.col("price").isNotNull().alias("priced"), units.alias("price"))
+    found = flat.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=Sequencer(patience_ms), outputStructType=FLAT_STEP, outputMode="append",
         timeMode="none" if patience_ms is None else "processingTime")
+    price = lambda c: (F.col(c).cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-scale))).alias(c)
+    return conform(found.select(
+        *KEY, "dataset_version", F.col("as_of").cast("date").alias("as_of"), price("price"), price("previous_price"),
+        "previous_version"), STEP)
 
 
 def run_crossings(

@@ -3,6 +3,7 @@ import time
 from datetime import date, datetime
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +188,46 @@ def test_a_version_that_never_comes_is_waited_for_no_longer_than_asked(spark, fo
     assert found(spark, out) == [("r", 3, 72, 65)]
 
 
+def test_a_micro_batch_reads_and_writes_the_state_once_however_many_positions_it_holds():
+    rng, calls = random.Random(5), []
+
+    class Kept:
+        held = None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, value):
+            calls.append("update")
+            self.held = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Kept()
+
+    machine = stream.Sequencer(None)
+    machine.init(Handle())
+    rows, want = [], []
+    for i in range(40):
+        last, before, priced = stream.START, None, None
+        for v in sorted(rng.sample(range(1, 500), 15)):
+            p = None if rng.random() < 0.2 else rng.randrange(50)
+            rows.append((f"X{i}", "C1", last, v, "2024-01-01", p is not None, p or 0))
+            if p is not None:
+                want += [(f"X{i}", "C1", v, "2024-01-01", p, before, priced)] if before is not None and p > before else []
+                before, priced = p, v
+            last = v
+    rng.shuffle(rows)
+    got = []
+    for k in range(3):
+        frame = pd.DataFrame(rows[k::3], columns=stream.FLAT)
+        for steps in machine.handleInputRows((0,), iter([frame.iloc[:70], frame.iloc[70:]]), None):
+            got += list(steps.itertuples(index=False, name=None))
+    assert sorted(got) == sorted(want) and want
+    assert calls == ["get", "update"] * 3
+
+
 def test_steps_look_only_at_the_rules_between_their_prices(spark):
     """10^5 rules and 10^5 steps on one position: 10^10 pairs, of which a few thousand belong together."""
     n = 100_000
