@@ -2,17 +2,20 @@
 
 Learning
     Words are counted over all training documents. The most frequent ones, and the endings of all
-    other words, are the units to be clustered; the counts of neighbouring units over all training
+    other words, are the units to be clustered first; the counts of neighbouring units over all training
     documents are at most (units)^2 numbers. Exchange clustering moves each unit to the class that
-    raises the likelihood of the class bigram most, until a sweep moves few.
+    raises the likelihood of the class bigram most, until a sweep moves few. Then every other word, however
+    rare, goes to the class under which its own neighbours are likeliest (`classed_words`): the classes
+    before and after it are counted and brought to the word by a shuffle. The class bigram is counted
+    anew from all training documents with the classes of all their words.
 
 Scoring
     P(word | history) = a P(class | class before) P(word | class) + (1 - a) P(word). Both word
     probabilities are proportional to the word's count, with the Good-Turing mass of words seen once
     set aside for words never seen; so the log probability of a token splits into the log of its count
-    and a part known from the classes alone. Frequent words are scored from a broadcast table of a
-    fixed size; for the others each document sends what it needs of a word to that word's count by a
-    join, whatever the size of the vocabulary.
+    and a part known from the classes alone. A document becomes one class per token: frequent words take
+    theirs from a broadcast table of a fixed size; the places of all others go to the word's count and class
+    by a join and back to the document, whatever the size of the vocabulary.
 """
 
 from __future__ import annotations
@@ -177,89 +180,235 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return own
 
 
+def steps_between(joint: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """P(class | class before) and the tokens of each class, from counts of neighbouring classes."""
+    size = joint.sum(0)
+    share = (size + 1) / (size.sum() + len(joint))
+    return (joint + 5 * share) / (joint.sum(1, keepdims=True) + 5), size
+
+
+def count_neighbours(train: DataFrame, frequent: list[bytes], own: np.ndarray) -> DataFrame:
+    """word, cell, n for every word that is not frequent: how often a class stands before it (cell: the
+    class) and after it (cell: classes + the class). Classes are those of the units."""
+    k, n_frequent = int(own.max()) + 1, len(frequent)
+    shared = train.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(frequent)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict = {}
+        flow: list = [[-1]]
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            words = list(seen)
+            unit = np.append(units_of(words, shared.value, n_frequent), len(own) - 1)
+            cls, at = own[unit], np.concatenate(flow).astype(np.int64)  # the end token is -1
+            rare = np.nonzero((unit[at] >= n_frequent) & (at >= 0))[0]
+            cells = np.concatenate([at[rare] * 2 * k + cls[at[rare - 1]], at[rare] * 2 * k + k + cls[at[rare + 1]]])
+            cells, n = np.unique(cells, return_counts=True)
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()).take(pa.array(cells // (2 * k))), pa.array((cells % (2 * k)).astype(np.int32)),
+                 pa.array(n.astype(np.int64))], names=["word", "cell", "n"])
+            seen.clear()
+            flow[:] = [[-1]]
+            return batch
+
+        for batch in batches:
+            for text in batch.column("text"):
+                parts = tokens(text.as_py())
+                flow += [np.fromiter((seen.setdefault(w, len(seen)) for w in parts), np.int64, len(parts)), [-1]]
+                size += len(parts) + 1
+                if len(seen) > FLUSH or size > 8 * FLUSH:
+                    yield flush()
+                    size = 0
+        yield flush()
+
+    return train.select("text").mapInArrow(run, "word binary, cell int, n long")
+
+
+def classed_words(train: DataFrame, frequent: list[bytes], own: np.ndarray, joint: np.ndarray) -> DataFrame:
+    """word, c and cls of every training word that is not frequent: the class under which its own
+    neighbours are likeliest. Another class than that of its ending is charged with its name, log(classes)."""
+    k = len(joint)
+    step, size = steps_between(joint)
+    worth = np.concatenate([np.log(step) - np.log(size + 1), np.log(step).T])
+    endings = own[len(frequent):len(frequent) + ENDINGS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, cells = batch.column("word"), batch.column("cells")
+            flat, sizes = cells.flatten(), np.diff(cells.offsets.to_numpy())
+            table = np.zeros((len(words), 2 * k))
+            table[np.repeat(np.arange(len(words)), sizes), flat.field("cell").to_numpy()] = flat.field("n").to_numpy()
+            gain = table @ worth
+            stay = endings[np.fromiter((ending(w.as_py()) for w in words), np.int64, len(words))]
+            gain[np.arange(len(words)), stay] += np.log(k) + 1e-9
+            yield pa.RecordBatch.from_arrays(
+                [words, pa.array(table[:, :k].sum(1).astype(np.int64)), pa.array(gain.argmax(1).astype(np.int32))],
+                names=["word", "c", "cls"])
+
+    # Dealt by word once; both groupings below keep to that.
+    met = count_neighbours(train, frequent, own).repartition("word").groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    cells = met.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))  # at most two per class
+    return cells.mapInArrow(run, "word binary, c long, cls int")
+
+
 @dataclass(frozen=True)
-class Model:
-    """What scoring needs: counts of the head words, classes of units, and log10 of what a word's
-    count is to be multiplied with (known) or what stands in its place (unseen), by class pair."""
+class Head:
+    """What coding needs: the head words with their counts and classes, and the classes of endings and end."""
 
-    head: dict
+    at: dict
     log_c: np.ndarray
     log_c1: np.ndarray
-    n_frequent: int
-    classes: np.ndarray
-    known: np.ndarray
-    unseen: np.ndarray
-    end: tuple[float, float]
-
-
-def assemble(words: list[bytes], c: np.ndarray, pairs: np.ndarray, own: np.ndarray, once: np.ndarray,
-             total: int, weight: float = WEIGHT) -> Model:
-    """`once`: words seen once, by ending; `total`: training tokens."""
-    k = int(own.max()) + 1 if len(own) else 1
-    n_frequent = len(pairs) - ENDINGS - 1
-    member = np.eye(k)[own]
-    joint = member.T @ pairs @ member
-    size = joint.sum(0)
-    rare = np.bincount(own[n_frequent:n_frequent + ENDINGS], once, k)
-    apart = np.minimum((rare + 0.5) / (size + 1), 0.5)
-    apart_all = min((once.sum() + 0.5) / (total + 1), 0.5)
-    share = (size + 1) / (size.sum() + k)
-    step = (joint + 5 * share) / (joint.sum(1, keepdims=True) + 5)
-    with np.errstate(divide="ignore"):
-        known = weight * step * ((1 - apart) / np.maximum(size, 1)) + (1 - weight) * (1 - apart_all) / max(total, 1)
-        unseen = weight * step * apart + (1 - weight) * apart_all
-    ends = pairs[:, -1].sum() if len(pairs) else 0
-    log = lambda x: np.log10(np.maximum(x, 1.0))
-    return Model({w: i for i, w in enumerate(words)}, log(c), np.log10(c + 1), n_frequent, own,
-                 np.log10(known), np.log10(unseen), (float(log(ends)), float(np.log10(ends + 1))))
-
-
-def local_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """One closing row per document (word null: what head words and the end token give) and one per
-    other word of it: n tokens, and the class parts if it turns out known or unseen."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    cls: np.ndarray
+    endings: np.ndarray
+    end: int
+
+
+#: Set in the code of a token that was never seen in training, beside the class of its ending.
+UNSEEN = 128
+
+
+def coded(docs: DataFrame, head: Head) -> DataFrame:
+    """One closing row per document (the classes of its tokens, one byte each, and what head words give) and one
+    per other word of it: where it stands."""
+    shared = docs.sparkSession.sparkContext.broadcast(head)
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        head, n_head = m.head, len(m.log_c)
-        end_class = int(m.classes[-1])
+        place_of = m.at.get
         for batch in batches:
-            rows: list[list] = [[] for _ in range(7)]
+            rows: list[list] = [[] for _ in range(8)]
             add = lambda *row: [c.append(v) for c, v in zip(rows, row)]
+            digests = batch.column("digest")
             for i, text in enumerate(batch.column("text")):
                 parts = tokens(text.as_py())
-                at = np.fromiter((head.get(w, -1) for w in parts), np.int64, len(parts))
-                unit = at.copy()
-                for j in np.nonzero((at < 0) | (at >= m.n_frequent))[0].tolist():
-                    unit[j] = m.n_frequent + ending(parts[j])
-                cls = np.append(m.classes[unit] if len(unit) else unit, end_class)
-                prev = np.concatenate([[end_class], cls[:-1]])
-                known, unseen = m.known[prev, cls], m.unseen[prev, cls]
+                at = np.fromiter((place_of(w, -1) for w in parts), np.int64, len(parts))
+                code = np.full(len(parts) + 1, m.end, np.uint8)
                 inside = at >= 0
-                own = at[inside]
-                score = float(m.log_c[own].sum() + known[:-1][inside].sum() + known[-1] + m.end[0])
-                base = float(m.log_c1[own].sum() + m.end[1])
-                add(i, None, len(parts) + 1, len(own) + 1, base, score, 0.0)
+                held = at[inside]
+                code[:-1][inside] = m.cls[held]
                 rest: dict = {}
                 for j in np.nonzero(~inside)[0].tolist():
-                    r = rest.setdefault(parts[j], [0, 0.0, 0.0])
-                    r[0] += 1
-                    r[1] += known[j]
-                    r[2] += unseen[j]
-                for word, r in rest.items():
-                    add(i, word, r[0], 0, 0.0, float(r[1]), float(r[2]))
+                    rest.setdefault(parts[j], []).append(j)
+                for word, places in rest.items():
+                    places = np.array(places, np.int32)
+                    code[places] = m.endings[ending(word)] | UNSEEN
+                    add(i, False, word, len(places), 0, 0.0, 0.0, places.tobytes())
+                # A name that no word has (it holds a space), so closing rows meet nothing and lie in all partitions.
+                name = b" " + digests[i].as_py().to_bytes(8, "little", signed=True)
+                add(i, True, name, len(code), len(held) + 1, float(m.log_c1[held].sum()), float(m.log_c[held].sum()), code.tobytes())
             at = pa.array(rows[0], pa.int32())
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(at), batch.column("digest").take(at), batch.column("held_out").take(at),
-                pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.int64()),
-                pa.array(rows[4], pa.float64()), pa.array(rows[5], pa.float64()), pa.array(rows[6], pa.float64()),
-            ], names=["doc_id", "digest", "held_out", "word", "n", "known", "base", "sure", "unseen"])
+                batch.column("doc_id").take(at), digests.take(at), batch.column("held_out").take(at),
+                pa.array(rows[1], pa.bool_()), pa.array(rows[2], pa.binary()), pa.array(rows[3], pa.int64()),
+                pa.array(rows[4], pa.int64()), pa.array(rows[5], pa.float64()), pa.array(rows[6], pa.float64()),
+                pa.array(rows[7], pa.binary()),
+            ], names=["doc_id", "digest", "held_out", "closing", "word", "n", "known", "base", "sure", "body"])
 
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"),
                        is_fold(F.col("doc_id"), MODULUS, HELD_OUT).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, digest long, held_out boolean, word binary, n long, known long, "
-                                "base double, sure double, unseen double")
+    return rows.mapInArrow(run, f"doc_id {kind}, digest long, held_out boolean, closing boolean, word binary, n long, known long, "
+                                "base double, sure double, body binary")
+
+
+def joined(parts: DataFrame, rare: DataFrame) -> DataFrame:
+    """One row per different document: its copies, sums over them, the codes of its tokens (`body`) and, of its
+    seen words beyond the head, class and places (`patches`)."""
+    met = parts.join(rare, "word", "left")
+    closing, seen = F.col("closing"), F.col("c").isNotNull()
+    one = met.select(
+        "doc_id", "digest", "held_out", F.when(closing, 1).otherwise(0).alias("copies"),
+        F.when(closing, F.col("n")).otherwise(0).alias("tokens"),
+        F.when(closing, F.col("known")).when(seen, F.col("n")).otherwise(0).alias("known"),
+        F.when(closing, F.col("base")).otherwise(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("base"),
+        F.when(closing, F.col("sure")).when(seen, F.col("n") * F.log10(F.col("c"))).otherwise(0.0).alias("sure"),
+        F.when(closing, F.col("body")).alias("body"),
+        F.when(seen, F.struct("cls", F.col("body").alias("places"))).alias("patch"),
+    ).where(closing | seen)
+    return one.groupBy("doc_id", "digest", "held_out").agg(
+        *[F.sum(c).alias(c) for c in ("copies", "tokens", "known", "base", "sure")],
+        F.max("body").alias("body"), F.collect_list("patch").alias("patches"))
+
+
+def whole_codes(docs: DataFrame) -> DataFrame:
+    """`joined` with the patches put into the codes."""
+    kept = [c for c in docs.columns if c != "patches"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            body, patches = batch.column("body"), batch.column("patches")
+            flow, start = _bytes_of(body)
+            flat = patches.flatten()
+            places, ends = _bytes_of(flat.field("places"))
+            of = np.repeat(np.repeat(start[:-1], np.diff(patches.offsets.to_numpy())), np.diff(ends) // 4)
+            flow = flow.copy()
+            flow[places.view(np.int32) + of] = np.repeat(flat.field("cls").to_numpy(), np.diff(ends) // 4)
+            whole = pa.Array.from_buffers(pa.binary(), len(body), [None, pa.py_buffer(start.astype(np.int32)), pa.py_buffer(flow)])
+            yield pa.RecordBatch.from_arrays([whole if c == "body" else batch.column(c) for c in kept], names=kept)
+
+    return docs.mapInArrow(run, docs.select(*kept).schema)
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column one after another, and where each value starts and the last ends."""
+    values = column.to_pylist()
+    sizes = np.fromiter((len(v) for v in values), np.int64, len(values))
+    return np.frombuffer(b"".join(values), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _steps(flow: np.ndarray, start: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class before and class of every token; the end token stands before a document."""
+    cls = (flow & (UNSEEN - 1)).astype(np.int64)
+    prev = np.empty_like(cls)
+    prev[1:] = cls[:-1]
+    prev[start[:-1]] = end
+    return prev, cls
+
+
+def count_classes(train: DataFrame, k: int, end: int) -> np.ndarray:
+    """Counts of neighbouring classes over coded training documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(k * k)
+        for batch in batches:
+            flow, start = _bytes_of(batch.column("body"))
+            prev, cls = _steps(flow, start, end)
+            copies = np.repeat(batch.column("copies").to_numpy(), np.diff(start))
+            table += np.bincount(prev * k + cls, copies, k * k)
+        cells = np.nonzero(table)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table[cells].astype(np.int64))], names=["cell", "n"])
+
+    sums = train.select("body", "copies").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    got = sums.toArrow()  # at most k squared rows
+    table = np.zeros(k * k)
+    table[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    return table.reshape(k, k)
+
+
+def assemble(joint: np.ndarray, once: np.ndarray, total: int, weight: float = WEIGHT) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of what a word's count is to be multiplied with (known) or what stands in its place (unseen), by
+    class pair. `once`: words seen once, by class; `total`: training tokens."""
+    step, size = steps_between(joint)
+    apart = np.minimum((once + 0.5) / (size + 1), 0.5)
+    apart_all = min((once.sum() + 0.5) / (total + 1), 0.5)
+    known = weight * step * ((1 - apart) / np.maximum(size, 1)) + (1 - weight) * (1 - apart_all) / max(total, 1)
+    unseen = weight * step * apart + (1 - weight) * apart_all
+    return np.log10(known), np.log10(unseen)
+
+
+def class_scores(docs: DataFrame, known: np.ndarray, unseen: np.ndarray, end: int) -> DataFrame:
+    """Coded documents with `path`: what the classes of their tokens give."""
+    kept = [c for c in docs.columns if c != "body"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flow, start = _bytes_of(batch.column("body"))
+            prev, cls = _steps(flow, start, end)
+            part = np.where(flow >= UNSEEN, unseen[prev, cls], known[prev, cls])
+            path = np.add.reduceat(part, start[:-1]) if len(start) > 1 else np.empty(0)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(path)], names=[*kept, "path"])
+
+    return docs.mapInArrow(run, docs.select(*kept, F.lit(0.0).alias("path")).schema)
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -282,32 +431,29 @@ def score(docs: DataFrame) -> DataFrame:
     words, c, bound = head_words(counts)
     frequent = words[:FREQUENT]
     pairs = count_pairs(train, frequent)
-    last = F.substring("word", -ENDING, ENDING)
-    last = F.when(F.octet_length("word") <= ENDING, F.col("word")).otherwise(last)
-    once = np.zeros(ENDINGS)
-    single = counts.where("c = 1").groupBy((F.crc32(last) % ENDINGS).alias("e")).count()
-    for row in single.collect():  # one per ending unit
-        once[row["e"]] = row["count"]
-    model = assemble(words, c, pairs, exchange(pairs), once, total)
-    parts = local_scores(own, model)
-    rare = counts.where(F.col("c") < bound)
-    met = parts.join(rare, "word", "left")
-    seen, closing = F.col("c").isNotNull(), F.col("word").isNull()
-    one = met.select(
-        "doc_id", "digest", "held_out", F.when(closing, 1).otherwise(0).alias("copies"), "n",
-        F.when(closing, F.col("known")).when(seen, F.col("n")).otherwise(0).alias("known"),
-        F.when(closing, F.col("base")).otherwise(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("base"),
-        F.when(closing, F.col("sure")).when(seen, F.col("sure") + F.col("n") * F.log10(F.col("c")))
-        .otherwise(F.col("unseen")).alias("score"),
-        F.when(closing, F.col("n")).otherwise(0).alias("tokens"),
-    )
-    sums = one.groupBy("doc_id", "digest", "held_out").agg(*[
-        F.sum(k).alias(k) for k in ("copies", "known", "base", "score", "tokens")])
+    unit_class = exchange(pairs)
+    k, end = int(unit_class.max()) + 1, int(unit_class[-1])
+    member = np.eye(k)[unit_class]
+    others = cut(classed_words(train, frequent, unit_class, member.T @ pairs @ member), "lm-classes")
+    at = {w: i for i, w in enumerate(words)}
+    cls = np.zeros(len(words), np.uint8)
+    cls[:len(frequent)] = unit_class[:len(frequent)]
+    got = others.where(F.col("c") >= bound).select("word", "cls").toArrow()  # no more than the head
+    cls[[at[w] for w in got.column("word").to_pylist()]] = got.column("cls").to_numpy()
+    head = Head(at, np.log10(c), np.log10(c + 1), cls, unit_class[len(frequent):len(frequent) + ENDINGS].astype(np.uint8), end)
+    once = np.bincount(cls[:len(frequent)], c[:len(frequent)] == 1, k)
+    for row in others.where("c = 1").groupBy("cls").count().collect():  # one per class
+        once[row["cls"]] += row["count"]
+    whole = cut(whole_codes(joined(coded(own, head), others.where(F.col("c") < bound))), "lm-codes")
+    known, unseen = assemble(count_classes(whole.where(~F.col("held_out")), k, end), once, total)
+    scored = class_scores(whole, known, unseen, end)
     copies = F.col("copies")
-    whole = lambda k: (F.col(k) / copies).cast("long")
-    n = whole("tokens")
-    return sums.select(
-        "doc_id", "held_out", n.alias("n_tokens"), whole("known").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") / copies - n * F.lit(float(np.log10(total + vocabulary + 1)))).alias("base_score"),
-        (F.col("score") / copies).alias("score"), F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy"),
+    each = lambda name: (F.col(name) / copies).cast("long")
+    n = each("tokens")
+    of_end = lambda seen: F.lit(float(np.log10(max(seen, 1))))
+    return scored.select(
+        "doc_id", "held_out", n.alias("n_tokens"), each("known").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
+        (F.col("base") / copies + of_end(n_docs + 1) - n * F.lit(float(np.log10(total + vocabulary + 1)))).alias("base_score"),
+        (F.col("sure") / copies + F.col("path") + of_end(n_docs)).alias("score"),
+        F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("_copy"),
     ).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))).drop("_copy")

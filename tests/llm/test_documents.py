@@ -78,6 +78,19 @@ def test_brown_rare_words_by_join_score_as_by_table(spark, monkeypatch):
         assert r.base_score == pytest.approx(whole[i].base_score) and r.n_known == whole[i].n_known
 
 
+def test_brown_words_of_one_ending_have_classes_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(brown, "FREQUENT", 9)
+    rng = random.Random(4)
+    nouns = [*["house", "tree", "river"] * 40, *[f"n{i}xyz" for i in range(40)]]
+    verbs = [*["grown", "cold", "far"] * 40, *[f"v{i}xyz" for i in range(40)]]
+    rows = [(i, " ".join(f"the {rng.choice(nouns)} is {rng.choice(verbs)} ." for _ in range(8))) for i in range(120)]
+    right, turned = [i for i in range(500, 600) if zlib.crc32(str(i).encode()) % 7 == 2][:2]  # not learnt from
+    rows += [(right, "the n1xyz is v1xyz ."), (turned, "the v1xyz is n1xyz .")]
+    got = {r.doc_id: r for r in brown.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[right].base_score == pytest.approx(got[turned].base_score)
+    assert got[right].score > got[turned].score + 1
+
+
 def test_exchange_finds_two_languages():
     rng = np.random.default_rng(0)
     pairs = np.zeros((20, 20))
